@@ -5,17 +5,19 @@ the trip-weighted mean of the metric and the (unweighted, population) σ of the
 values.  z = (x - benchmark) / σ is labelled HIGH/LOW at strictly beyond ±k, and the
 deviation is (benchmark - x) / benchmark in percent.
 
-Plan: the benchmark is a global aggregate of the grouped frame - exactly one row - and
-is joined back as a broadcast; the grouped frame's exchange is reused by both branches.
+Plan: the benchmark is a whole-set window (``OVER ()``) on the grouped frame, so the trips
+are scanned and aggregated once.  The window runs in one task over the groups only;
+the group keys here are categorical (24 hours x time buckets, borough pairs of the zone
+lookup), so that input is bounded by the key domains, not by the trip count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions import pct_deviation, ratio, score_label, weighted_avg
+from ..functions import pct_deviation, ratio, score_label, weighted_avg_over
 
 METRIC = "avg_fare_per_mile"
 WEIGHT = "total_trips"
@@ -41,13 +43,15 @@ def benchmark_score(
 ) -> DataFrame:
     """Add ``benchmark_avg_fare_per_mile``, ``stddev_fare_per_mile``, the z-score,
     ``pricing_opportunity_type`` and ``fare_deviation_percent`` to ``groups``."""
-    bench = groups.agg(
-        weighted_avg(metric, weight).alias("benchmark_avg_fare_per_mile"),
-        F.stddev_pop(metric).alias("stddev_fare_per_mile"),
-    )
+    everything = Window.partitionBy()
     z = ratio(F.col(metric) - F.col("benchmark_avg_fare_per_mile"), "stddev_fare_per_mile")
     return (
-        groups.crossJoin(F.broadcast(bench))
+        groups.withColumns(
+            {
+                "benchmark_avg_fare_per_mile": weighted_avg_over(metric, weight, everything),
+                "stddev_fare_per_mile": F.stddev_pop(metric).over(everything),
+            }
+        )
         .withColumn(zscore_name, z)
         .withColumns(
             {
