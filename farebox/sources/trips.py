@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import schema as S
 
@@ -69,8 +68,8 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     """
     try:
         raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    except AnalysisException as err:  # incompatible types across files
-        if "MERGE" not in str(err).upper():
+    except Exception as err:  # CANNOT_MERGE_SCHEMAS: incompatible types across files
+        if "CANNOT_MERGE" not in str(err):
             raise
         return _read_per_file(spark, *paths)
     return conform_trips(raw)

@@ -64,7 +64,9 @@ class TripStore:
         return f"{self.root}/_checkpoint"
 
 
-def _process_batch(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
+def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
+    """The ``foreachBatch`` function of the incremental load (steps 1-4 above)."""
+
     def process(batch: DataFrame, batch_id: int) -> None:
         trips = clean_and_derive(apply_gate(conform_trips(batch)), lookup, zones_checked=True)
         write_partitioned(
@@ -102,7 +104,7 @@ def incremental_load(
     query = (
         spark.readStream.schema(schema)
         .parquet(landing_dir)
-        .writeStream.foreachBatch(_process_batch(spark, store, lookup))
+        .writeStream.foreachBatch(batch_processor(spark, store, lookup))
         .option("checkpointLocation", store.checkpoint)
         .trigger(availableNow=True)
         .start()
