@@ -22,27 +22,19 @@ def checked_lookup(zones: DataFrame, max_broadcast_rows: int = S.ZONE_BROADCAST_
 
     * The key must be unique, else every matching trip would be repeated (and the
       duplicate check downstream would not remove the copies).  This is checked.
-    * The lookup is broadcast only when it has at most ``max_broadcast_rows`` rows.
-      The probe reads at most that many rows plus one, so it stays cheap even when
-      the lookup is not small.  A larger lookup is left to the planner (shuffled or
-      AQE-converted join), and its key check runs as a distributed aggregation.
+    * The lookup is broadcast only when it has at most ``max_broadcast_rows`` rows; a
+      larger one is left to the planner (shuffled join, or converted by AQE from the
+      runtime size).
+
+    Both facts come from one distributed aggregation over the lookup (row count, key
+    count, distinct key count); only that one row reaches the driver.
     """
     lookup = zones.select(S.LOCATION_ID, S.BOROUGH, S.ZONE, S.SERVICE_ZONE)
-    probe = (
-        lookup.select(S.LOCATION_ID)
-        .limit(max_broadcast_rows + 1)
-        .agg(F.count("*").alias("n"), F.count(S.LOCATION_ID).alias("k"),
-             F.count_distinct(S.LOCATION_ID).alias("d"))
-        .first()
-    )
-    if probe["n"] <= max_broadcast_rows:
-        if probe["k"] != probe["d"]:
-            raise DuplicateZoneKeyError(f"{probe['k'] - probe['d']} duplicate LocationID rows")
-        return F.broadcast(lookup)
-    dupes = (
-        lookup.where(F.col(S.LOCATION_ID).isNotNull())
-        .groupBy(S.LOCATION_ID).count().where(F.col("count") > 1).limit(1).count()
-    )
-    if dupes:
-        raise DuplicateZoneKeyError("duplicate LocationID in zone lookup")
-    return lookup
+    stats = lookup.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(S.LOCATION_ID).alias("k"),
+        F.count_distinct(S.LOCATION_ID).alias("d"),
+    ).first()
+    if stats["k"] != stats["d"]:
+        raise DuplicateZoneKeyError(f"{stats['k'] - stats['d']} duplicate LocationID rows")
+    return F.broadcast(lookup) if stats["n"] <= max_broadcast_rows else lookup
