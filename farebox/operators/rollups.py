@@ -6,7 +6,7 @@ partial row per key and map task, never the trips themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -50,3 +50,63 @@ def vendor_performance(trips: DataFrame) -> DataFrame:
         F.stddev_samp(S.BASE_FARE_PER_MILE).alias("base_fare_per_mile_stddev"),
         F.stddev_samp(S.FARE_PER_MILE).alias("fare_per_mile_stddev"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Mergeable form of D3 for incremental maintenance.
+# ---------------------------------------------------------------------------
+_MEAN_ONLY = {
+    "avg_trip_duration": S.DURATION_MIN,
+    "avg_base_fare_per_mile": S.BASE_FARE_PER_MILE,
+    "avg_fare_per_mile": S.FARE_PER_MILE,
+    "avg_fare_amount": S.FARE,
+}
+_SPREAD = {
+    "base_fare_per_mile_stddev": S.BASE_FARE_PER_MILE,
+    "fare_per_mile_stddev": S.FARE_PER_MILE,
+}
+
+
+def vendor_moments(trips: DataFrame, keys: tuple[str, ...] = (S.YEAR, S.MONTH)) -> DataFrame:
+    """Per (``keys``, VendorID) partial state of D3: count, sums, and (mean, M2) of the
+    two metrics whose sample stddev D3 reports (M2 = Σ(x - mean)² = n·var_pop).
+
+    Any set of these rows can be merged into D3 by :func:`merge_vendor_moments`, so an
+    incremental load refreshes only the months it touched.
+    """
+    n = F.count(F.lit(1))
+    measures = [n.alias("n")]
+    measures += [F.sum(col).alias(f"sum_{name}") for name, col in _MEAN_ONLY.items()]
+    for name, col in _SPREAD.items():
+        measures += [
+            F.avg(col).alias(f"mean_{name}"),
+            (F.var_pop(col) * n).alias(f"m2_{name}"),
+        ]
+    return trips.groupBy(*keys, S.VENDOR).agg(*measures)
+
+
+def merge_vendor_moments(moments: DataFrame) -> DataFrame:
+    """D3 from partial states, with the parallel (Chan) merge of mean and M2:
+
+    M2 = Σ M2_i + Σ n_i (mean_i - mean)², stddev_samp = sqrt(M2 / (N - 1)), NULL for N = 1.
+
+    The input has one row per vendor and month, so the per-vendor window is small.
+    """
+    by_vendor = Window.partitionBy(S.VENDOR)
+    total = F.sum("n").over(by_vendor)
+    centred = moments.withColumns(
+        {
+            f"centre_{name}": F.sum(F.col("n") * F.col(f"mean_{name}")).over(by_vendor) / total
+            for name in _SPREAD
+        }
+    )
+    aggs = [F.sum("n").alias("trip_count")]
+    aggs += [(F.sum(f"sum_{name}") / F.sum("n")).alias(name) for name in _MEAN_ONLY]
+    for name in _SPREAD:
+        m2 = F.sum(f"m2_{name}") + F.sum(
+            F.col("n") * F.pow(F.col(f"mean_{name}") - F.col(f"centre_{name}"), 2)
+        )
+        aggs.append(
+            F.when(F.sum("n") > 1, F.sqrt(m2 / (F.sum("n") - 1))).alias(name)
+        )
+    return centred.groupBy(S.VENDOR).agg(*aggs)

@@ -14,8 +14,10 @@ Per micro-batch (``foreachBatch``):
 3. the daily and hourly rollups are recomputed for the months the batch touched only
    (read with partition pruning through a semi join on the touched months) and
    overwrite just those month partitions;
-4. vendor performance (per-trip standard deviations, not mergeable from the daily
-   rollup) is recomputed from the trips table.
+4. vendor performance needs per-trip standard deviations, which the daily rollup
+   cannot give; the store keeps per (month, vendor) moments (count, sums, mean, M2),
+   refreshes the touched months like the rollups, and merges them into the vendor
+   table (a few rows per vendor and month) - no batch rescans the trip history.
 """
 
 from __future__ import annotations
@@ -28,7 +30,12 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators.quality import apply_gate
-from ..operators.rollups import daily_trip_stats, hourly_trip_stats, vendor_performance
+from ..operators.rollups import (
+    daily_trip_stats,
+    hourly_trip_stats,
+    merge_vendor_moments,
+    vendor_moments,
+)
 from ..plans.pipeline import clean_and_derive
 from ..sources.sinks import write_partitioned, write_table
 from ..sources.trips import conform_trips
@@ -59,6 +66,10 @@ class TripStore:
     def vendors(self) -> str:
         return f"{self.root}/{S.VENDOR_TABLE}"
 
+    @property
+    def moments(self) -> str:
+        return f"{self.root}/vendor_moments"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -80,7 +91,8 @@ def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | N
         refresh = stored.join(F.broadcast(touched), list(S.PARTITION_KEYS), "left_semi")
         write_table(daily_trip_stats(refresh), store.daily, partition_by=S.PARTITION_KEYS)
         write_table(hourly_trip_stats(refresh), store.hourly, partition_by=S.PARTITION_KEYS)
-        write_table(vendor_performance(stored), store.vendors)
+        write_table(vendor_moments(refresh), store.moments, partition_by=S.PARTITION_KEYS)
+        write_table(merge_vendor_moments(spark.read.parquet(store.moments)), store.vendors)
 
     return process
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
+
 from farebox import schema as S
-from farebox.operators.rollups import daily_trip_stats
+from farebox.operators.rollups import daily_trip_stats, vendor_performance
 from farebox.plans.pipeline import enriched_trips
 from farebox.sources.zones import checked_lookup
 from farebox.streaming.incremental import TripStore, batch_processor, incremental_load
@@ -44,8 +46,12 @@ def test_two_runs_equal_one_full_run_and_rerun_changes_nothing(spark, zones, tmp
     incremental_load(spark, landing, zones, store_root)  # no new files: nothing happens
     assert spark.read.parquet(store.trips).count() == trips_before
     assert _sorted(spark.read.parquet(store.daily)) == _sorted(got)
-    vendors = {r[S.VENDOR]: r["trip_count"] for r in spark.read.parquet(store.vendors).collect()}
-    assert vendors == {1: 3 + 3, 2: 3, 3: 2}
+    vendors = {r[S.VENDOR]: r.asDict() for r in spark.read.parquet(store.vendors).collect()}
+    assert {v: r["trip_count"] for v, r in vendors.items()} == {1: 3 + 3, 2: 3, 3: 2}
+    full_vendors = vendor_performance(enriched_trips(make_trips(spark, first + second), zones))
+    for row in full_vendors.collect():
+        for k, x in row.asDict().items():
+            assert vendors[row[S.VENDOR]][k] == (pytest.approx(x, rel=1e-9) if x is not None else None), k
 
 
 def test_replayed_batch_changes_nothing(spark, zones, tmp_path):

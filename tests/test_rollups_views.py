@@ -92,3 +92,19 @@ def test_present_applies_serving_order(generated):
     out = views.present(views.vendor_comparison(daily), "vendor_comparison").collect()
     assert [r["total_trips"] for r in out] == sorted((r["total_trips"] for r in out), reverse=True)
 
+
+
+def test_merged_monthly_moments_equal_direct_vendor_stats(generated, spark, zones):
+    trips, _ = generated
+    direct = {r[S.VENDOR]: r.asDict() for r in rollups.vendor_performance(trips).collect()}
+    merged = {r[S.VENDOR]: r.asDict()
+              for r in rollups.merge_vendor_moments(rollups.vendor_moments(trips)).collect()}
+    assert direct.keys() == merged.keys()
+    for v, row in direct.items():
+        assert merged[v]["trip_count"] == row["trip_count"]
+        for k, x in row.items():
+            if k not in (S.VENDOR, "trip_count"):
+                assert merged[v][k] == pytest.approx(x, rel=1e-9), (v, k)
+    one = rollups.merge_vendor_moments(rollups.vendor_moments(
+        enriched_trips(make_trips(spark, [trip(VendorID=9)]), zones))).first()
+    assert one["trip_count"] == 1 and one["fare_per_mile_stddev"] is None
