@@ -129,3 +129,16 @@ def test_stage_functions_compose(spark, zones):
     df = make_trips(spark, [trip(), trip()])
     staged = add_trip_features(temporal_filter(parse_timestamps(dedup_trips(enrich_zones(df, zones)))))
     assert staged.count() == 1
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, zones):
+    # 02:30 on 2024-03-10 does not exist in New York (DST gap); NTZ values keep it
+    pick = datetime(2024, 3, 10, 2, 30)
+    rows = [trip(tpep_pickup_datetime=pick, tpep_dropoff_datetime=pick + timedelta(minutes=45))]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = enriched_trips(make_trips(spark, rows), zones).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out[S.PICKUP] == pick
+    assert (out[S.HOUR], out[S.DAY], out[S.DURATION_MIN], out[S.TIME_OF_DAY]) == (2, 10, 45.0, "Night")
