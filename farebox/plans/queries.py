@@ -18,12 +18,12 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import duration_minutes, is_weekend, per_mile, quantize6, time_of_day
+from ..functions.trip_exprs import all_of
 from ..operators import anomaly, benchmark, rollups, views
 from ..operators.clean import dedup_trips, parse_timestamps, temporal_filter
 from ..operators.enrich import enrich_dropoff, enrich_pickup
 from ..operators.months import missing_months
 from ..operators.quality import apply_gate, dq_rule_report, dq_summary, quality_rules
-from ..functions.trip_exprs import all_of
 from ..session import staging_path
 from ..sources import testdata
 from ..sources.sinks import clustered_layout, write_partitioned
@@ -290,6 +290,10 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _compared(query: Query) -> Query:
+    return lambda spark, d: for_comparison(query(spark, d))
+
+
 def registered() -> dict[str, Query]:
     """The registry with the comparison rounding applied to every result."""
-    return {name: (lambda q: lambda spark, d: for_comparison(q(spark, d)))(q) for name, q in QUERIES.items()}
+    return {name: _compared(query) for name, query in QUERIES.items()}

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-def clustered_layout(trips: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def clustered_layout(
+    trips: DataFrame,
+    num_partitions: int | None = None,
+    partition_by: tuple[str, ...] = S.PARTITION_KEYS,
+) -> DataFrame:
     """Lay trips out for fast access by pickup time and by (vendor, pickup time).
 
     Range-partitioning on the pickup time gives every write task one contiguous time
     slice (so each file covers a narrow time range and few files land in each month
-    directory).  Inside a task, rows are sorted by year, month (the write partition
-    keys, so the writer needs no extra sort), vendor and pickup time; parquet min/max
+    directory).  Inside a task, rows are sorted by the write partition keys (so the
+    writer needs no extra sort), then vendor and pickup time; parquet min/max
     statistics then prune row groups for both access paths.
 
     The range key is (pickup time, row hash): when one pickup instant holds a large
@@ -27,7 +31,7 @@ def clustered_layout(trips: DataFrame, num_partitions: int | None = None) -> Dat
         if num_partitions
         else trips.repartitionByRange(*keys)
     )
-    return ranged.sortWithinPartitions(*S.PARTITION_KEYS, S.VENDOR, S.PICKUP)
+    return ranged.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
 
 
 def write_partitioned(
@@ -43,7 +47,7 @@ def write_partitioned(
     (dynamic partition overwrite), so re-running a batch is idempotent and other
     months stay untouched.
     """
-    frame = clustered_layout(trips) if layout else trips
+    frame = clustered_layout(trips, partition_by=partition_by) if layout else trips
     (
         frame.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
