@@ -76,3 +76,43 @@ def test_volume_band_matches_brute_force(spark, counts):
         assert math.isclose(row["rolling_avg_7d"], centre, rel_tol=1e-12)
         if _clear(x, centre, sigma):
             assert row["anomaly_type"] == labels[label]
+
+
+def _brute_force_trip_keys(rows):
+    """Gate, exact dedup (NULLs equal) and temporal filter in plain Python."""
+    def passes(r):
+        req = (S.VENDOR, S.PICKUP, S.DROPOFF, S.PASSENGERS, S.DISTANCE, S.FARE)
+        if any(r[c] is None for c in req):
+            return False
+        return 1 <= r[S.PASSENGERS] <= 9 and 0 <= r[S.DISTANCE] <= 1000 and 0 <= r[S.FARE] <= 1000
+    kept = {tuple(r[c] for c in S.RAW_COLUMNS) for r in rows if passes(r)}
+    i_pick, i_drop = S.RAW_COLUMNS.index(S.PICKUP), S.RAW_COLUMNS.index(S.DROPOFF)
+    return sorted((k for k in kept if k[i_drop] >= k[i_pick]), key=repr)
+
+
+raw_rows = st.lists(
+    st.fixed_dictionaries({
+        S.VENDOR: st.sampled_from([1, 2, None]),
+        S.PICKUP: st.sampled_from([datetime(2024, 1, 1, 8), datetime(2024, 1, 6, 23, 59, 59)]),
+        S.DROPOFF: st.sampled_from([datetime(2024, 1, 1, 7, 59), datetime(2024, 1, 1, 8),
+                                    datetime(2024, 1, 7, 0, 30), None]),
+        S.PASSENGERS: st.sampled_from([0, 1, 9, 10, None]),
+        S.DISTANCE: st.sampled_from([0.0, 2.5, 1000.0, 1000.5]),
+        S.PU_LOCATION: st.sampled_from([1, 2, 99, None]),
+        S.DO_LOCATION: st.sampled_from([1, 7]),
+        S.FARE: st.sampled_from([0.0, 12.5, 1001.0, None]),
+        S.TOTAL: st.sampled_from([14.0, None]),
+    }),
+    min_size=0, max_size=25,
+).flatmap(lambda rs: st.just(rs + rs[: len(rs) // 3]))  # exact copies of a prefix
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw_rows)
+def test_gate_dedup_filter_match_brute_force(spark, zones, rows):
+    from farebox.plans.pipeline import enriched_trips
+    from tests.conftest import make_trips
+
+    out = enriched_trips(make_trips(spark, rows), zones)
+    got = sorted((tuple(r[c] for c in S.RAW_COLUMNS) for r in out.collect()), key=repr)
+    assert got == _brute_force_trip_keys(rows)
