@@ -75,6 +75,18 @@ class TripStore:
         return f"{self.root}/_checkpoint"
 
 
+def touched_months(stored: DataFrame, batch_id: int) -> DataFrame:
+    """Stored trips of every month that batch ``batch_id`` wrote into.
+
+    The months come from the batch's own partitions; the semi join on the partition
+    columns is planned with dynamic partition pruning, so only those month directories
+    are read.  The month list holds at most one row per calendar month: a bounded
+    broadcast.
+    """
+    touched = stored.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
+    return stored.join(F.broadcast(touched), list(S.PARTITION_KEYS), "left_semi")
+
+
 def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
     """The ``foreachBatch`` function of the incremental load (steps 1-4 above)."""
 
@@ -86,9 +98,7 @@ def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | N
             partition_by=(*S.PARTITION_KEYS, BATCH),
         )
         stored = spark.read.parquet(store.trips)
-        touched = stored.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
-        # touched holds at most one row per calendar month: a bounded broadcast.
-        refresh = stored.join(F.broadcast(touched), list(S.PARTITION_KEYS), "left_semi")
+        refresh = touched_months(stored, batch_id)
         write_table(daily_trip_stats(refresh), store.daily, partition_by=S.PARTITION_KEYS)
         write_table(hourly_trip_stats(refresh), store.hourly, partition_by=S.PARTITION_KEYS)
         write_table(vendor_moments(refresh), store.moments, partition_by=S.PARTITION_KEYS)

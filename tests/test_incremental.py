@@ -63,3 +63,18 @@ def test_replayed_batch_changes_nothing(spark, zones, tmp_path):
     process(batch, 0)  # the same batch id again, as after a failure before commit
     twice = (_sorted(spark.read.parquet(store.trips)), _sorted(spark.read.parquet(store.daily)))
     assert once == twice
+
+
+def test_refresh_reads_only_touched_months(spark, zones, tmp_path):
+    from pyspark.sql import functions as F
+
+    from farebox.operators.rollups import daily_trip_stats as daily
+    from farebox.sources.sinks import write_partitioned
+    from farebox.streaming.incremental import BATCH, touched_months
+    from tests.conftest import plan_text
+
+    path = str(tmp_path / "trips")
+    trips = enriched_trips(make_trips(spark, _month_rows(1) + _month_rows(2)), zones)
+    write_partitioned(trips.withColumn(BATCH, F.lit(0)), path, partition_by=(S.YEAR, S.MONTH, BATCH))
+    plan = plan_text(daily(touched_months(spark.read.parquet(path), 0)))
+    assert "dynamicpruning" in plan
