@@ -36,3 +36,22 @@ def test_pipeline_writes_once_and_publishes_fifteen_views(spark, tmp_path):
     top = spark.sql("SELECT * FROM v_vendor_comparison").collect()
     assert [r["total_trips"] for r in top] == sorted((r["total_trips"] for r in top), reverse=True)
     assert spark.table(S.TRIPS_TABLE).count() == 3929
+
+
+def test_job_entry_point_batch_and_incremental(spark, tmp_path):
+    from farebox.__main__ import parse_args, run_job
+
+    raw_dir, zones_dir = str(tmp_path / "raw"), str(tmp_path / "zones")
+    testdata.raw_trips(spark, SF_SMALL).write.parquet(raw_dir)
+    testdata.zones(spark, SF_SMALL).write.option("header", "true").csv(zones_dir)
+
+    out = str(tmp_path / "out")
+    summary = run_job(spark, parse_args(["--raw", raw_dir, "--zones", zones_dir, "--out", out]))
+    assert summary == {"mode": "batch", "total_rows": 6116, "passed_rows": 4205, "views": 15}
+    assert spark.read.parquet(f"{out}/views/v_vendor_daily_performance").count() == 3212
+
+    inc = str(tmp_path / "inc")
+    summary = run_job(spark, parse_args(["--raw", raw_dir, "--zones", zones_dir, "--out", inc,
+                                         "--incremental", "--no-views"]))
+    assert summary == {"mode": "incremental"}
+    assert spark.read.parquet(f"{inc}/{S.DAILY_TABLE}").count() == 3212
