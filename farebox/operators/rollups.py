@@ -6,7 +6,7 @@ partial row per key and map task, never the trips themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -53,60 +53,98 @@ def vendor_performance(trips: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Mergeable form of D3 for incremental maintenance.
+# One pre-aggregate for all three rollups.
 # ---------------------------------------------------------------------------
-_MEAN_ONLY = {
-    "avg_trip_duration": S.DURATION_MIN,
-    "avg_base_fare_per_mile": S.BASE_FARE_PER_MILE,
-    "avg_fare_per_mile": S.FARE_PER_MILE,
-    "avg_fare_amount": S.FARE,
-}
-_SPREAD = {
-    "base_fare_per_mile_stddev": S.BASE_FARE_PER_MILE,
-    "fare_per_mile_stddev": S.FARE_PER_MILE,
+# Measure name → trip column.  Each gets a sum and a non-NULL count in the partial state
+# (fare_per_mile is NULL where total_amount is, so counts are per measure).
+AVERAGED = {
+    "trip_duration": S.DURATION_MIN,
+    "base_fare_per_mile": S.BASE_FARE_PER_MILE,
+    "fare_per_mile": S.FARE_PER_MILE,
+    "fare_amount": S.FARE,
+    "trip_distance": S.DISTANCE,
+    "total_amount": S.TOTAL,
 }
+# Measures whose per-trip sample standard deviation D3 reports: also (mean, M2).
+DISPERSED = ("base_fare_per_mile", "fare_per_mile")
+MOMENT_KEYS = (S.YEAR, S.MONTH, S.DAY, S.HOUR, S.VENDOR)
 
 
-def vendor_moments(trips: DataFrame, keys: tuple[str, ...] = (S.YEAR, S.MONTH)) -> DataFrame:
-    """Per (``keys``, VendorID) partial state of D3: count, sums, and (mean, M2) of the
-    two metrics whose sample stddev D3 reports (M2 = Σ(x - mean)² = n·var_pop).
+def trip_moments(trips: DataFrame) -> DataFrame:
+    """Partial state of D1, D2 and D3 per (year, month, day, hour, VendorID).
 
-    Any set of these rows can be merged into D3 by :func:`merge_vendor_moments`, so an
-    incremental load refreshes only the months it touched.
+    Per measure: sum and non-NULL count; for the two dispersed measures also the mean
+    and M2 = Σ(x - mean)² (= count · var_pop).  Its size is bounded by calendar hours ×
+    vendors, not by trips, so one scan of the trips table feeds all three rollups, and
+    an incremental load refreshes it for the touched months only.
     """
-    n = F.count(F.lit(1))
-    measures = [n.alias("n")]
-    measures += [F.sum(col).alias(f"sum_{name}") for name, col in _MEAN_ONLY.items()]
-    for name, col in _SPREAD.items():
-        measures += [
-            F.avg(col).alias(f"mean_{name}"),
-            (F.var_pop(col) * n).alias(f"m2_{name}"),
-        ]
-    return trips.groupBy(*keys, S.VENDOR).agg(*measures)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for name, col in AVERAGED.items():
+        aggs += [F.sum(col).alias(f"sum_{name}"), F.count(col).alias(f"n_{name}")]
+    for name in DISPERSED:
+        col = AVERAGED[name]
+        aggs += [F.avg(col).alias(f"mean_{name}"), (F.var_pop(col) * F.count(col)).alias(f"m2_{name}")]
+    return trips.groupBy(*MOMENT_KEYS).agg(*aggs)
+
+
+def _avg(name: str) -> Column:
+    return F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}"))
+
+
+def daily_from_moments(moments: DataFrame) -> DataFrame:
+    """D1 from :func:`trip_moments` (same columns and values as ``daily_trip_stats``)."""
+    return moments.groupBy(S.YEAR, S.MONTH, S.DAY, S.VENDOR).agg(
+        F.sum("n").alias("trip_count"),
+        _avg("trip_duration").alias("avg_trip_duration"),
+        _avg("base_fare_per_mile").alias("avg_base_fare_per_mile"),
+        _avg("fare_per_mile").alias("avg_fare_per_mile"),
+        _avg("fare_amount").alias("avg_fare_amount"),
+        _avg("trip_distance").alias("avg_trip_distance"),
+        F.sum("sum_fare_amount").alias("base_revenue"),
+        F.sum("sum_total_amount").alias("gross_revenue"),
+    )
 
 
-def merge_vendor_moments(moments: DataFrame) -> DataFrame:
-    """D3 from partial states, with the parallel (Chan) merge of mean and M2:
+def hourly_from_moments(moments: DataFrame) -> DataFrame:
+    """D2 from :func:`trip_moments`."""
+    return moments.groupBy(S.YEAR, S.MONTH, S.DAY, S.HOUR).agg(
+        F.sum("n").alias("trip_count"),
+        _avg("trip_duration").alias("avg_trip_duration"),
+        _avg("base_fare_per_mile").alias("avg_base_fare_per_mile"),
+        _avg("fare_per_mile").alias("avg_fare_per_mile"),
+    )
+
 
-    M2 = Σ M2_i + Σ n_i (mean_i - mean)², stddev_samp = sqrt(M2 / (N - 1)), NULL for N = 1.
+def vendors_from_moments(moments: DataFrame) -> DataFrame:
+    """D3 from :func:`trip_moments`, merging mean and M2 in parallel (Chan et al.):
 
-    The input has one row per vendor and month, so the per-vendor window is small.
+    M2 = Σ M2_i + Σ n_i (mean_i - mean)², stddev_samp = sqrt(M2 / (N - 1)), NULL for N ≤ 1.
+
+    The per-vendor window runs over pre-aggregated rows (calendar hours per vendor).
     """
     by_vendor = Window.partitionBy(S.VENDOR)
-    total = F.sum("n").over(by_vendor)
     centred = moments.withColumns(
         {
-            f"centre_{name}": F.sum(F.col("n") * F.col(f"mean_{name}")).over(by_vendor) / total
-            for name in _SPREAD
+            f"centre_{name}": F.try_divide(
+                F.sum(F.col(f"n_{name}") * F.col(f"mean_{name}")).over(by_vendor),
+                F.sum(f"n_{name}").over(by_vendor),
+            )
+            for name in DISPERSED
         }
     )
-    aggs = [F.sum("n").alias("trip_count")]
-    aggs += [(F.sum(f"sum_{name}") / F.sum("n")).alias(name) for name in _MEAN_ONLY]
-    for name in _SPREAD:
+    spreads = []
+    for name in DISPERSED:
+        n_total = F.sum(f"n_{name}")
         m2 = F.sum(f"m2_{name}") + F.sum(
-            F.col("n") * F.pow(F.col(f"mean_{name}") - F.col(f"centre_{name}"), 2)
-        )
-        aggs.append(
-            F.when(F.sum("n") > 1, F.sqrt(m2 / (F.sum("n") - 1))).alias(name)
+            F.col(f"n_{name}") * F.pow(F.col(f"mean_{name}") - F.col(f"centre_{name}"), 2)
         )
-    return centred.groupBy(S.VENDOR).agg(*aggs)
+        spreads.append(F.when(n_total > 1, F.sqrt(m2 / (n_total - 1))))
+    return centred.groupBy(S.VENDOR).agg(
+        F.sum("n").alias("trip_count"),
+        _avg("trip_duration").alias("avg_trip_duration"),
+        _avg("base_fare_per_mile").alias("avg_base_fare_per_mile"),
+        _avg("fare_per_mile").alias("avg_fare_per_mile"),
+        _avg("fare_amount").alias("avg_fare_amount"),
+        spreads[0].alias("base_fare_per_mile_stddev"),
+        spreads[1].alias("fare_per_mile_stddev"),
+    )

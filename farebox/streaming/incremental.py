@@ -11,13 +11,12 @@ Per micro-batch (``foreachBatch``):
 2. its trips are written to the trips table under partitions
    ``(pickup_year, pickup_month, ingest_batch)`` with dynamic overwrite - a replayed
    batch rewrites exactly its own partitions, so replay changes nothing;
-3. the daily and hourly rollups are recomputed for the months the batch touched only
-   (read with partition pruning through a semi join on the touched months) and
-   overwrite just those month partitions;
-4. vendor performance needs per-trip standard deviations, which the daily rollup
-   cannot give; the store keeps per (month, vendor) moments (count, sums, mean, M2),
-   refreshes the touched months like the rollups, and merges them into the vendor
-   table (a few rows per vendor and month) - no batch rescans the trip history.
+3. the hourly x vendor pre-aggregate (``trip_moments``: counts, sums, mean and M2) is
+   recomputed for the months the batch touched only (read with dynamic partition
+   pruning through a semi join on those months) and overwrites just those partitions;
+4. the daily and hourly rollups of the touched months, and the vendor table, are
+   rebuilt from the pre-aggregate - a few rows per calendar hour and vendor - so no
+   batch rescans the trip history.
 """
 
 from __future__ import annotations
@@ -31,10 +30,10 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..operators.quality import apply_gate
 from ..operators.rollups import (
-    daily_trip_stats,
-    hourly_trip_stats,
-    merge_vendor_moments,
-    vendor_moments,
+    daily_from_moments,
+    hourly_from_moments,
+    trip_moments,
+    vendors_from_moments,
 )
 from ..plans.pipeline import clean_and_derive
 from ..sources.sinks import write_partitioned, write_table
@@ -68,23 +67,25 @@ class TripStore:
 
     @property
     def moments(self) -> str:
-        return f"{self.root}/vendor_moments"
+        return f"{self.root}/trip_moments"
 
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
 
 
-def touched_months(stored: DataFrame, batch_id: int) -> DataFrame:
-    """Stored trips of every month that batch ``batch_id`` wrote into.
+def touched_months(table: DataFrame, batch_id: int, trips: DataFrame | None = None) -> DataFrame:
+    """Rows of ``table`` (partitioned by pickup year/month) in every month that batch
+    ``batch_id`` wrote into the stored ``trips`` (default: ``table`` itself).
 
-    The months come from the batch's own partitions; the semi join on the partition
-    columns is planned with dynamic partition pruning, so only those month directories
-    are read.  The month list holds at most one row per calendar month: a bounded
-    broadcast.
+    The months come from the batch's own trip partitions; the semi join on the
+    partition columns is planned with dynamic partition pruning, so only those month
+    directories are read.  The month list holds at most one row per calendar month: a
+    bounded broadcast.
     """
-    touched = stored.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
-    return stored.join(F.broadcast(touched), list(S.PARTITION_KEYS), "left_semi")
+    source = table if trips is None else trips
+    months = source.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
+    return table.join(F.broadcast(months), list(S.PARTITION_KEYS), "left_semi")
 
 
 def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
@@ -98,11 +99,13 @@ def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | N
             partition_by=(*S.PARTITION_KEYS, BATCH),
         )
         stored = spark.read.parquet(store.trips)
-        refresh = touched_months(stored, batch_id)
-        write_table(daily_trip_stats(refresh), store.daily, partition_by=S.PARTITION_KEYS)
-        write_table(hourly_trip_stats(refresh), store.hourly, partition_by=S.PARTITION_KEYS)
-        write_table(vendor_moments(refresh), store.moments, partition_by=S.PARTITION_KEYS)
-        write_table(merge_vendor_moments(spark.read.parquet(store.moments)), store.vendors)
+        write_table(trip_moments(touched_months(stored, batch_id)), store.moments,
+                    partition_by=S.PARTITION_KEYS)
+        moments = spark.read.parquet(store.moments)
+        touched = touched_months(moments, batch_id, stored)
+        write_table(daily_from_moments(touched), store.daily, partition_by=S.PARTITION_KEYS)
+        write_table(hourly_from_moments(touched), store.hourly, partition_by=S.PARTITION_KEYS)
+        write_table(vendors_from_moments(moments), store.vendors)
 
     return process
 

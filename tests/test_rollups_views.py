@@ -94,17 +94,46 @@ def test_present_applies_serving_order(generated):
 
 
 
-def test_merged_monthly_moments_equal_direct_vendor_stats(generated, spark, zones):
+def _assert_same(direct, derived, keys):
+    d = {tuple(r[k] for k in keys): r.asDict() for r in direct.collect()}
+    g = {tuple(r[k] for k in keys): r.asDict() for r in derived.collect()}
+    assert d.keys() == g.keys()
+    for key, row in d.items():
+        assert set(g[key]) == set(row)
+        for col, x in row.items():
+            if x is None or isinstance(x, int):
+                assert g[key][col] == x, (key, col)
+            else:
+                assert g[key][col] == pytest.approx(x, rel=1e-9), (key, col)
+
+
+def test_rollups_from_moments_equal_direct_rollups(generated):
     trips, _ = generated
-    direct = {r[S.VENDOR]: r.asDict() for r in rollups.vendor_performance(trips).collect()}
-    merged = {r[S.VENDOR]: r.asDict()
-              for r in rollups.merge_vendor_moments(rollups.vendor_moments(trips)).collect()}
-    assert direct.keys() == merged.keys()
-    for v, row in direct.items():
-        assert merged[v]["trip_count"] == row["trip_count"]
-        for k, x in row.items():
-            if k not in (S.VENDOR, "trip_count"):
-                assert merged[v][k] == pytest.approx(x, rel=1e-9), (v, k)
-    one = rollups.merge_vendor_moments(rollups.vendor_moments(
-        enriched_trips(make_trips(spark, [trip(VendorID=9)]), zones))).first()
-    assert one["trip_count"] == 1 and one["fare_per_mile_stddev"] is None
+    moments = rollups.trip_moments(trips)
+    _assert_same(rollups.daily_trip_stats(trips), rollups.daily_from_moments(moments),
+                 (*S.DAY_KEYS, S.VENDOR))
+    _assert_same(rollups.hourly_trip_stats(trips), rollups.hourly_from_moments(moments),
+                 (*S.DAY_KEYS, S.HOUR))
+    _assert_same(rollups.vendor_performance(trips), rollups.vendors_from_moments(moments), (S.VENDOR,))
+
+
+def test_moments_handle_null_totals_and_single_trips(spark, zones):
+    from datetime import timedelta
+
+    t0 = datetime(2024, 1, 8, 9)
+    rows = [
+        trip(VendorID=1, total_amount=None, trip_distance=2.0),
+        trip(VendorID=1, total_amount=30.0, trip_distance=3.0, tpep_pickup_datetime=t0,
+             tpep_dropoff_datetime=t0 + timedelta(minutes=7)),
+        trip(VendorID=1, total_amount=16.0, trip_distance=4.0, fare_amount=12.0),
+        trip(VendorID=2),
+        trip(VendorID=3, total_amount=None),
+    ]
+    trips = enriched_trips(make_trips(spark, rows), zones)
+    moments = rollups.trip_moments(trips)
+    _assert_same(rollups.vendor_performance(trips), rollups.vendors_from_moments(moments), (S.VENDOR,))
+    _assert_same(rollups.daily_trip_stats(trips), rollups.daily_from_moments(moments),
+                 (*S.DAY_KEYS, S.VENDOR))
+    v = {r[S.VENDOR]: r for r in rollups.vendors_from_moments(moments).collect()}
+    assert v[2]["fare_per_mile_stddev"] is None  # one trip
+    assert v[3]["avg_fare_per_mile"] is None and v[3]["fare_per_mile_stddev"] is None  # no totals
