@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .. import schema as S
@@ -45,9 +46,6 @@ def enriched_trips(raw: DataFrame, zones: DataFrame | None, on_error: str = "fai
     return clean_and_derive(apply_gate(raw, on_error), zones)
 
 
-MOMENTS_TABLE = "trip_moments"
-
-
 @dataclass
 class PipelineResult:
     trips: DataFrame
@@ -80,10 +78,11 @@ def run_pipeline(
     trips_path = f"{out_dir}/{S.TRIPS_TABLE}"
     write_partitioned(trips, trips_path)
     stored = spark.read.parquet(trips_path)
-    # One scan of the written trips feeds all three rollups through the pre-aggregate.
-    moments_path = f"{out_dir}/{MOMENTS_TABLE}"
-    write_table(trip_moments(stored), moments_path, partition_by=S.PARTITION_KEYS)
-    moments = spark.read.parquet(moments_path)
+    # One scan of the written trips feeds all three rollups through the pre-aggregate
+    # (bounded by calendar hours x vendors).  It is persisted, not checkpointed: its
+    # lineage is one aggregation over the written table, so a lost block is recomputed
+    # from files.
+    moments = trip_moments(stored).persist(StorageLevel.MEMORY_AND_DISK)
     outputs = {}
     for name, build in (
         (S.DAILY_TABLE, daily_from_moments),
@@ -93,6 +92,7 @@ def run_pipeline(
         path = f"{out_dir}/{name}"
         write_table(build(moments), path)
         outputs[name] = spark.read.parquet(path)
+    moments.unpersist()
     if jdbc_url:
         for name, df in ((S.TRIPS_TABLE, stored), *outputs.items()):
             write_jdbc(df, jdbc_url, name, jdbc_properties)

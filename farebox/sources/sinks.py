@@ -57,11 +57,19 @@ def write_partitioned(
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
-    """Write a rollup/view table as parquet (dynamic overwrite when partitioned)."""
-    writer = df.write.mode(mode)
+    """Write a rollup table as parquet (dynamic partition overwrite when partitioned).
+
+    Meant for aggregated tables, whose size is bounded by calendar keys and vendors:
+    a partitioned one is first hash-partitioned on its partition columns (a small
+    shuffle of aggregated rows), so each partition directory gets one file instead of
+    one per upstream task.
+    """
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+        df.repartition(*partition_by).write.mode(mode).option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
