@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,18 +75,16 @@ class TripStore:
         return f"{self.root}/_checkpoint"
 
 
-def touched_months(table: DataFrame, batch_id: int, trips: DataFrame | None = None) -> DataFrame:
-    """Rows of ``table`` (partitioned by pickup year/month) in every month that batch
-    ``batch_id`` wrote into the stored ``trips`` (default: ``table`` itself).
+def touched_months(stored: DataFrame, batch_id: int) -> DataFrame:
+    """Stored trips of every month that batch ``batch_id`` wrote into.
 
-    The months come from the batch's own trip partitions; the semi join on the
-    partition columns is planned with dynamic partition pruning, so only those month
-    directories are read.  The month list holds at most one row per calendar month: a
-    bounded broadcast.
+    The months come from the batch's own partitions; the semi join on the partition
+    columns is planned with dynamic partition pruning, so only those month directories
+    are read.  The month list holds at most one row per calendar month: a bounded
+    broadcast.
     """
-    source = table if trips is None else trips
-    months = source.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
-    return table.join(F.broadcast(months), list(S.PARTITION_KEYS), "left_semi")
+    months = stored.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
+    return stored.join(F.broadcast(months), list(S.PARTITION_KEYS), "left_semi")
 
 
 def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
@@ -99,13 +98,13 @@ def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | N
             partition_by=(*S.PARTITION_KEYS, BATCH),
         )
         stored = spark.read.parquet(store.trips)
-        write_table(trip_moments(touched_months(stored, batch_id)), store.moments,
-                    partition_by=S.PARTITION_KEYS)
-        moments = spark.read.parquet(store.moments)
-        touched = touched_months(moments, batch_id, stored)
-        write_table(daily_from_moments(touched), store.daily, partition_by=S.PARTITION_KEYS)
-        write_table(hourly_from_moments(touched), store.hourly, partition_by=S.PARTITION_KEYS)
-        write_table(vendors_from_moments(moments), store.vendors)
+        # Complete months: every stored trip of each touched month, from all batches.
+        fresh = trip_moments(touched_months(stored, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        write_table(fresh, store.moments, partition_by=S.PARTITION_KEYS)
+        write_table(daily_from_moments(fresh), store.daily, partition_by=S.PARTITION_KEYS)
+        write_table(hourly_from_moments(fresh), store.hourly, partition_by=S.PARTITION_KEYS)
+        fresh.unpersist()
+        write_table(vendors_from_moments(spark.read.parquet(store.moments)), store.vendors)
 
     return process
 
