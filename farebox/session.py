@@ -45,11 +45,16 @@ def shared_root(spark: SparkSession) -> str:
     neither is set - a local test session - a folder is chosen and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    try:  # classic sessions only; a Spark Connect session exposes no SparkContext
+        context = spark.sparkContext
+    except Exception:
+        raise RuntimeError("set spark.checkpoint.dir to the cluster's shared folder") from None
+    root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="farebox-checkpoints-")
-        spark.sparkContext.setCheckpointDir(root)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
