@@ -49,7 +49,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         result = run_pipeline(spark, read_trips(spark, args.raw), zones, args.out,
                               jdbc_url=args.jdbc_url, jdbc_properties=props)
         tables = {"T": result.trips, "D": result.daily, "H": result.hourly, "V": result.vendors}
-        summary = {"mode": "batch", **result.gate.get}
+        summary = {"mode": "batch", **result.gate_counts()}
     if not args.no_views:
         names = register_views(spark, tables["T"], tables["D"], tables["H"], tables["V"], ordered=False)
         for name in names:

@@ -17,7 +17,7 @@ from .. import schema as S
 from ..operators.clean import dedup_trips, parse_timestamps, temporal_filter
 from ..operators.enrich import enrich_zones
 from ..operators.features import add_trip_features
-from ..operators.quality import apply_gate, gate_with_metrics
+from ..operators.quality import apply_gate, dq_summary, gate_with_metrics
 from ..operators.rollups import (
     daily_from_moments,
     hourly_from_moments,
@@ -53,6 +53,20 @@ class PipelineResult:
     hourly: DataFrame
     vendors: DataFrame
     gate: Observation
+    raw: DataFrame
+
+    def gate_counts(self) -> dict[str, int]:
+        """``{"total_rows", "passed_rows"}`` of the gate, observed during the trips write.
+
+        When no row passes, adaptive execution replaces the plan part that carried the
+        observed metrics with an empty relation and the observation stays unfilled;
+        then the counts come from one aggregation over the raw input instead.
+        """
+        try:
+            return dict(self.gate.get)
+        except Exception:
+            row = dq_summary(self.raw).first()
+            return {"total_rows": row["total_rows"], "passed_rows": row["passed_rows"]}
 
 
 def run_pipeline(
@@ -77,7 +91,8 @@ def run_pipeline(
     trips = clean_and_derive(gated, lookup, zones_checked=True)
     trips_path = f"{out_dir}/{S.TRIPS_TABLE}"
     write_partitioned(trips, trips_path)
-    stored = spark.read.parquet(trips_path)
+    # Known schema: if no row passed the gate there are no data files to infer it from.
+    stored = spark.read.schema(trips.schema).parquet(trips_path)
     # One scan of the written trips feeds all three rollups through the pre-aggregate
     # (bounded by calendar hours x vendors).  It is persisted, not checkpointed: its
     # lineage is one aggregation over the written table, so a lost block is recomputed
@@ -102,4 +117,5 @@ def run_pipeline(
         hourly=outputs[S.HOURLY_TABLE],
         vendors=outputs[S.VENDOR_TABLE],
         gate=gate_obs,
+        raw=raw,
     )

@@ -92,19 +92,19 @@ def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | N
 
     def process(batch: DataFrame, batch_id: int) -> None:
         trips = clean_and_derive(apply_gate(conform_trips(batch)), lookup, zones_checked=True)
-        write_partitioned(
-            trips.withColumn(BATCH, F.lit(batch_id)),
-            store.trips,
-            partition_by=(*S.PARTITION_KEYS, BATCH),
-        )
-        stored = spark.read.parquet(store.trips)
+        trips = trips.withColumn(BATCH, F.lit(batch_id))
+        write_partitioned(trips, store.trips, partition_by=(*S.PARTITION_KEYS, BATCH))
+        # Read with the known schema: a store whose batches all failed the gate has no
+        # data files yet, and reads as empty instead of failing schema inference.
+        stored = spark.read.schema(trips.schema).parquet(store.trips)
         # Complete months: every stored trip of each touched month, from all batches.
         fresh = trip_moments(touched_months(stored, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
         write_table(fresh, store.moments, partition_by=S.PARTITION_KEYS)
         write_table(daily_from_moments(fresh), store.daily, partition_by=S.PARTITION_KEYS)
         write_table(hourly_from_moments(fresh), store.hourly, partition_by=S.PARTITION_KEYS)
+        moments = spark.read.schema(fresh.schema).parquet(store.moments)
         fresh.unpersist()
-        write_table(vendors_from_moments(spark.read.parquet(store.moments)), store.vendors)
+        write_table(vendors_from_moments(moments), store.vendors)
 
     return process
 

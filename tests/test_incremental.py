@@ -78,3 +78,13 @@ def test_refresh_reads_only_touched_months(spark, zones, tmp_path):
     write_partitioned(trips.withColumn(BATCH, F.lit(0)), path, partition_by=(S.YEAR, S.MONTH, BATCH))
     plan = plan_text(daily(touched_months(spark.read.parquet(path), 0)))
     assert "dynamicpruning" in plan
+
+
+def test_batch_where_every_row_fails_the_gate(spark, zones, tmp_path):
+    store = TripStore(str(tmp_path / "store"))
+    process = batch_processor(spark, store, checked_lookup(zones))
+    process(make_trips(spark, [trip(passenger_count=0), trip(fare_amount=None)]), 0)
+    assert spark.read.parquet(store.vendors).count() == 0
+    process(make_trips(spark, _month_rows(6)), 1)
+    assert spark.read.parquet(store.daily).count() == 3
+    assert {r[S.VENDOR]: r["trip_count"] for r in spark.read.parquet(store.vendors).collect()} == {1: 3}

@@ -25,7 +25,7 @@ def test_every_query_has_an_oracle():
 def test_pipeline_writes_once_and_publishes_fifteen_views(spark, tmp_path):
     result = run_pipeline(spark, testdata.raw_trips(spark, SF_SMALL), testdata.zones(spark, SF_SMALL),
                           str(tmp_path / "out"))
-    assert result.gate.get == {"total_rows": 6116, "passed_rows": 4205}
+    assert result.gate_counts() == {"total_rows": 6116, "passed_rows": 4205}
     assert result.trips.count() == 3929
     assert result.daily.count() == 3212
     names = register_views(spark, result.trips, result.daily, result.hourly, result.vendors)
@@ -55,3 +55,15 @@ def test_job_entry_point_batch_and_incremental(spark, tmp_path):
                                          "--incremental", "--no-views"]))
     assert summary == {"mode": "incremental"}
     assert spark.read.parquet(f"{inc}/{S.DAILY_TABLE}").count() == 3212
+
+
+def test_pipeline_with_no_valid_rows_writes_empty_tables(spark, zones, tmp_path):
+    from tests.conftest import make_trips, trip
+
+    # A file source, as in production: an all-failing in-memory relation would be folded
+    # away by the optimizer together with its observed metrics.
+    path = str(tmp_path / "raw")
+    make_trips(spark, [trip(passenger_count=0), trip(trip_distance=-1.0)]).write.parquet(path)
+    result = run_pipeline(spark, spark.read.parquet(path), zones, str(tmp_path / "out"))
+    assert result.gate_counts() == {"total_rows": 2, "passed_rows": 0}
+    assert result.trips.count() == 0 and result.daily.count() == 0 and result.vendors.count() == 0
