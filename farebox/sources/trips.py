@@ -24,7 +24,18 @@ def _resolve(df: DataFrame, name: str) -> str | None:
     return None
 
 
-def conform_trips(df: DataFrame) -> DataFrame:
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def _from_epoch_nanos(col_name: str):
+    """Epoch nanoseconds (a BIGINT) → ``timestamp_ntz``, truncated to microseconds, with
+    no time-zone conversion."""
+    micros = F.expr(f"`{col_name}` div 1000")
+    return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH_NTZ).cast(T.TimestampNTZType()))
+
+
+def conform_trips(df: DataFrame, epoch_nanos: bool = False) -> DataFrame:
     """Check the nine raw columns and cast them to their declared types.
 
     Names are matched case-insensitively and renamed to the canonical spelling.  Numeric
@@ -32,8 +43,10 @@ def conform_trips(df: DataFrame) -> DataFrame:
     failing the job.  Timestamp columns keep string values as strings: parsing belongs
     to the cleaning step, after the gate and the duplicate check, so a bad string is
     counted as passing the gate and dropped later, as in the original job.  A
-    ``timestamp`` (with local time zone) is turned into ``timestamp_ntz``.
-    Every other column passes through unchanged.
+    ``timestamp`` (with local time zone) is turned into ``timestamp_ntz``; with
+    ``epoch_nanos`` a BIGINT timestamp column holds epoch nanoseconds (parquet
+    ``TIMESTAMP(NANOS)`` read as long) and is converted.  Every other column passes
+    through unchanged.
     """
     found = {name: _resolve(df, name) for name in S.RAW_COLUMNS}
     missing = [n for n, c in found.items() if c is None]
@@ -47,6 +60,8 @@ def conform_trips(df: DataFrame) -> DataFrame:
         if name in S.TIMESTAMP_COLUMNS:
             if isinstance(types[src], T.StringType):
                 exprs[name] = col
+            elif epoch_nanos and isinstance(types[src], T.LongType):
+                exprs[name] = _from_epoch_nanos(src)
             else:
                 exprs[name] = col.cast(T.TimestampNTZType())
         elif types[src] == target:
@@ -65,22 +80,32 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     reads as NULL, columns added by newer files appear.  When files disagree on the
     type of a column, parquet schema merging refuses; then each file is read on its
     own, conformed to the declared types and the parts are unioned by name.
+    Nanosecond parquet timestamps, which Spark does not read, are read as epoch
+    nanoseconds (``spark.sql.legacy.parquet.nanosAsLong``, a session setting this turns
+    on) and converted to ``timestamp_ntz`` microseconds.
     """
+    nanos = spark.conf.get(NANOS_AS_LONG, "false") == "true"
     try:
         raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    except Exception as err:  # CANNOT_MERGE_SCHEMAS: incompatible types across files
-        if "CANNOT_MERGE" not in str(err):
+    except Exception as err:
+        message = str(err)
+        if "TIMESTAMP(NANOS" in message and not nanos:
+            # Spark does not read nanosecond timestamps; its documented switch reads them
+            # as epoch-nanosecond BIGINTs (a session setting), converted in conform_trips.
+            spark.conf.set(NANOS_AS_LONG, "true")
+            return read_trips(spark, *paths)
+        if "CANNOT_MERGE" not in message:  # incompatible types across files
             raise
-        return _read_per_file(spark, *paths)
-    return conform_trips(raw)
+        return _read_per_file(spark, *paths, epoch_nanos=nanos)
+    return conform_trips(raw, epoch_nanos=nanos)
 
 
-def _read_per_file(spark: SparkSession, *paths: str) -> DataFrame:
+def _read_per_file(spark: SparkSession, *paths: str, epoch_nanos: bool = False) -> DataFrame:
     files = spark.read.parquet(*paths).inputFiles()
     groups: dict[str, list[str]] = {}
     for f in files:
         groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
-    parts = [conform_trips(spark.read.parquet(*fs)) for fs in groups.values()]
+    parts = [conform_trips(spark.read.parquet(*fs), epoch_nanos=epoch_nanos) for fs in groups.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -95,3 +95,31 @@ def test_jdbc_writer_is_configured_without_connecting(spark):
 def test_raw_schema_constant_matches_declared_types():
     assert [f.name for f in RAW_SCHEMA.fields] == S.RAW_COLUMNS
     assert isinstance(S.RAW_TYPES[S.PICKUP], T.TimestampNTZType)
+
+
+def test_nanosecond_timestamps_are_read(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from farebox.sources.trips import NANOS_AS_LONG
+
+    path = tmp_path / "ns"
+    path.mkdir()
+    row = trip(tpep_pickup_datetime=datetime(2024, 1, 1, 8, 0, 0, 123456),
+               tpep_dropoff_datetime=datetime(2024, 1, 1, 8, 20))
+    columns = {k: [v] for k, v in row.items()}
+    table = pa.table(columns).cast(pa.schema([
+        (k, pa.timestamp("ns") if k in S.TIMESTAMP_COLUMNS else pa.table(columns).schema.field(k).type)
+        for k in columns]))
+    pq.write_table(table, str(path / "trips.parquet"))
+    before = spark.conf.get(NANOS_AS_LONG, "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = read_trips(spark, str(path))
+        got = out.first()
+        assert dict(out.dtypes)[S.PICKUP] == "timestamp_ntz"
+        assert got[S.PICKUP] == datetime(2024, 1, 1, 8, 0, 0, 123456)
+        assert got[S.DROPOFF] == datetime(2024, 1, 1, 8, 20)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(NANOS_AS_LONG, before)
