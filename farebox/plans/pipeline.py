@@ -79,8 +79,9 @@ def run_pipeline(
 ) -> PipelineResult:
     """Run the batch job: write the trips table (partitioned by pickup year/month, laid
     out for time-range access), then one hourly x vendor pre-aggregate of the written
-    table, and the three rollups from that.  Returns frames that read the written tables, plus the gate counts
-    (collected while the trips table is written, with no extra job).
+    table, and the three rollups from that.  Returns frames that read the written
+    tables, plus the gate counts (collected while the trips table is written, with no
+    extra job; see :meth:`PipelineResult.gate_counts`).
 
     With ``jdbc_url`` the four tables are also published to the relational store
     (append, as the original job), each read from its written parquet, so publishing
