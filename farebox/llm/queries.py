@@ -12,9 +12,11 @@ from ..session import staging_path
 from .bpe_words import encode_decode
 from .common import documents
 from .digest import fingerprint_documents
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
 from .secret_scan import BASE_RULES, Ledger, scan_documents, spans_text
 from .sharding import shard_documents
+from .substring_dedup import dedup_digest
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,12 +56,22 @@ def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
 
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digest(documents(spark, sf_dir), window=35)
+
+
+def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": q_secret_scans,
     "op2_bpe_words": q_bpe_words,
     "op4_rendezvous_sharding": q_sharding,
+    "op5_substring_dedup": q_substring_dedup,
     "op6_token_counts": q_token_counts,
     "op8_best_fit_packing": q_packing,
+    "op9_jaccard_join": q_jaccard_join,
     "op10_fingerprints": q_fingerprints,
 }
 
