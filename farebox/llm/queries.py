@@ -14,10 +14,12 @@ from .common import documents
 from .digest import fingerprint_documents
 from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .resampling import resample
 from .secret_scan import BASE_RULES, Ledger, scan_documents, spans_text
 from .sharding import shard_documents
 from .substring_dedup import dedup_digest
 from .token_counts import token_counts
+from .weak_supervision import judge_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,14 @@ def q_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(documents(spark, sf_dir))
+
+
+def q_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -67,9 +77,11 @@ def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": q_secret_scans,
     "op2_bpe_words": q_bpe_words,
+    "op3_quality_rules": q_quality_rules,
     "op4_rendezvous_sharding": q_sharding,
     "op5_substring_dedup": q_substring_dedup,
     "op6_token_counts": q_token_counts,
+    "op7_importance_resampling": q_quality_classifier,
     "op8_best_fit_packing": q_packing,
     "op9_jaccard_join": q_jaccard_join,
     "op10_fingerprints": q_fingerprints,
