@@ -64,3 +64,12 @@ def rows_of(batches: Iterator[pa.RecordBatch], id_col: str = "doc_id", text_col:
     """(ids, UTF-8 texts) of each Arrow batch."""
     for batch in batches:
         yield batch.column(id_col), utf8_texts(batch.column(text_col))
+
+
+def only(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (doc_id, text_hash) names, ids compared null-safe.
+    The text's hash tells apart rows without an id, or of one id."""
+    side = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("text_hash").alias("_chosen_hash"))
+    return docs.join(
+        side, docs[f"`{id_col}`"].eqNullSafe(side["_chosen_id"])
+        & (F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit(""))) == side["_chosen_hash"]), "left_semi")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from .block_counts import deal, with_counts
-from .common import key_and_text, staged, utf8_texts
+from .common import key_and_text, only, staged, utf8_texts
 from .shingles import mix, shingle_set
 
 ORDERS = 3  # token orders whose prefixes must all meet
@@ -51,10 +51,11 @@ def _sets(texts: list[bytes], words: int) -> list[np.ndarray]:
 
 
 def describe(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, size, sig, live, prefix0.., tokens): see step 1.  ``live`` is the number of
+    """(doc_id, text_hash, size, sig, live, prefix0.., tokens): see step 1.  ``live`` is the number of
     tokens that some other document has too."""
     source = key_and_text(docs, id_col, text_col)
     dealt, buckets = deal(source)
+    dealt = dealt.withColumn("text_hash", F.xxhash64("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def keys_of(texts: list[bytes]) -> np.ndarray:
@@ -77,14 +78,14 @@ def describe(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
             for k in range(ORDERS):
                 order = np.lexsort((mix(live), rare)) if k == 0 else np.argsort(mix(live ^ np.uint64(k)))
                 prefixes[k].append(live[order[:take]].view(np.int64) if joins else None)
-        columns = {"doc_id": block.column("doc_id"), "size": pa.array(sizes, pa.int64()), "sig": pa.array(sigs, pa.binary()),
+        columns = {"doc_id": block.column("doc_id"), "text_hash": block.column("text_hash"), "size": pa.array(sizes, pa.int64()), "sig": pa.array(sigs, pa.binary()),
                    "live": pa.array(lives, pa.int64())}
         columns |= {f"prefix{k}": pa.array(prefixes[k], LONGS) for k in range(ORDERS)}
         return pa.table(columns | {"tokens": pa.array(tokens, LONGS)})
 
     prefixes = ", ".join(f"prefix{k} array<long>" for k in range(ORDERS))
     return with_counts(dealt, buckets, keys_of, finish,
-                       f"doc_id {id_type}, size long, sig binary, live long, {prefixes}, tokens array<long>")
+                       f"doc_id {id_type}, text_hash long, size long, sig binary, live long, {prefixes}, tokens array<long>")
 
 
 def _can_link(a: str, b: str, percent: int) -> Column:
@@ -155,21 +156,39 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         labels = turned.select("node", "label")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document: the smallest id reachable by
-    links."""
+def label_documents(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, size, label) of every document; ``label`` (a set signature) names
+    its component and is null for an empty set."""
     described = staged(describe(docs, words, percent, id_col, text_col), "shingle-sets")
-    members = staged(described.where("tokens is not null").drop("doc_id").dropDuplicates(["sig"]), "classes")
+    members = staged(described.where("tokens is not null").drop("doc_id", "text_hash").dropDuplicates(["sig"]), "classes")
     links = staged(verified(star_pairs(members, percent), members, percent), "star-links")
     labels = components(links)
     crossing = staged(verified(cross_pairs(members, labels, percent), members, percent), "cross-links")
     if not crossing.isEmpty():
         labels = components(links.unionByName(crossing))
-    classes = described.where("size > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
-    grouped = classes.join(labels, classes["sig"] == labels["node"], "left").select(
-        "sig", "first", F.coalesce("label", "sig").alias("label"))
-    smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_class = grouped.join(smallest, "label").select("sig", "component_id")
-    return described.select("doc_id", "size", "sig").join(by_class, "sig", "left").select(
+    return described.select("doc_id", "text_hash", "size", "sig").join(
+        labels, described["sig"] == labels["node"], "left").select(
+        "doc_id", "text_hash", "size", F.when(F.col("size") > 0, F.coalesce("label", "sig")).alias("label"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document: the smallest id reachable by
+    links."""
+    labelled = label_documents(docs, words, percent, id_col, text_col)
+    smallest = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return labelled.join(smallest, "label", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80,
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component: the one of least id (rows without an id last).  Documents
+    without words link with nothing and all stay."""
+    labelled = label_documents(docs, words, percent, id_col, text_col).where("label is not null")
+    first = labelled.groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("f")).select("f.doc_id", "f.text_hash")
+    blank = F.length(F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), " \t\n\x0b\x0c\r", "")) == 0
+    chosen = only(docs.where(~blank), first, id_col, text_col).withColumn("_hash", F.xxhash64(F.col(f"`{text_col}`")))
+    return chosen.dropDuplicates([id_col, "_hash"]).drop("_hash").unionByName(docs.where(blank))

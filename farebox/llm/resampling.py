@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import key_and_text, rows_of, staged
+from .common import key_and_text, only, rows_of, staged
 from .shingles import mix
 from .word_codec import Remembered
 
@@ -163,14 +163,15 @@ def kth_greatest(table: DataFrame, column: str, k: int, few: int = 10_000) -> fl
             k -= r["n"]
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = MAX_LABELLED, seed: int = 7,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_ngrams, log_weight, gumbel_key, kept) of every document.  ``labels`` has
-    doc_id and quality; ``k`` overrides the number that the labels give."""
+def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = MAX_LABELLED,
+                    seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_ngrams, log_weight, gumbel_key, kept) of every document.
+    ``labels`` has doc_id and quality; ``k`` overrides the number that the labels give."""
     source = key_and_text(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
     sample = labelled_sample(labels, max_labelled)
-    marked = source.join(F.broadcast(sample), source["doc_id"] == sample["labelled_id"], "left").select("doc_id", "text", "good")
+    marked = source.join(F.broadcast(sample), source["doc_id"] == sample["labelled_id"], "left").select(
+        "doc_id", "text", F.xxhash64("text").alias("text_hash"), "good")
     ratios = log_ratios(*count_ngrams(marked))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,16 +179,30 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, max_label
             for ids, texts in rows_of([batch]):
                 own = [buckets_of(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column("good"), pa.array(map(len, own), pa.int64()),
+                    [ids, batch.column("text_hash"), batch.column("good"), pa.array(map(len, own), pa.int64()),
                      pa.array([float(ratios[b].sum()) for b in own], pa.float64())],
-                    ["doc_id", "good", "n_ngrams", "log_weight"])
+                    ["doc_id", "text_hash", "good", "n_ngrams", "log_weight"])
 
-    weighed = staged(marked.mapInArrow(weigh, f"doc_id {id_type}, good int, n_ngrams long, log_weight double").withColumn(
-        "gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "weights")
+    weighed = staged(marked.mapInArrow(
+        weigh, f"doc_id {id_type}, text_hash long, good int, n_ngrams long, log_weight double"
+    ).withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "weights")
     if k is None:
         known = weighed.where("good is not null").select("good", "log_weight").limit(4 * max_labelled).collect()
         cut = best_cut(np.array([r["log_weight"] for r in known]), np.array([r["good"] == 1 for r in known], bool))
         k = weighed.where(F.col("log_weight") >= F.lit(float(cut))).count()
     total = weighed.count()
     least = -np.inf if k >= total else np.inf if k <= 0 else kth_greatest(weighed, "gumbel_key", k)
-    return weighed.select("doc_id", "n_ngrams", "log_weight", "gumbel_key", (F.col("gumbel_key") >= F.lit(float(least))).alias("kept"))
+    return weighed.select("doc_id", "text_hash", "n_ngrams", "log_weight", "gumbel_key",
+                          (F.col("gumbel_key") >= F.lit(float(least))).alias("kept"))
+
+
+def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_ngrams, log_weight, gumbel_key, kept) of every document; options as for
+    ``weigh_documents``."""
+    return weigh_documents(docs, labels, **options).drop("text_hash")
+
+
+def keep_resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are drawn."""
+    drawn = weigh_documents(docs, labels, id_col=id_col, text_col=text_col, **options).where("kept")
+    return only(docs, drawn, id_col, text_col)

@@ -57,6 +57,7 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+SPANS = "array<struct<rule:string,start:int,end:int>>"
 FOUND = "array<struct<rule:string,version:int,start:int,end:int>>"
 
 
@@ -138,24 +139,28 @@ def update_ledger(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] =
     ledger.append(scanned.select("blob", F.transform("todo", lambda n: version_of[n]).alias("seen"), "found"))
 
 
-def findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, blob, found) for every row of ``versions``: the spans of ``rules`` by start,
-    then rule as listed."""
+def ordered_spans(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, found) of every blob in the ledger that holds spans of ``rules``: by start, then
+    rule as listed."""
     order = F.lit([r.name for r in rules])
     current = F.lit([pair(r) for r in rules])
 
     def asked(x: Column) -> Column:
         return F.array_contains(current, F.concat_ws("@", x["rule"], x["version"].cast("string")))
 
-    by_blob = ledger.read().where(F.size("found") > 0).groupBy("blob").agg(
-        F.flatten(F.collect_list("found")).alias("_found"))
+    all_spans = ledger.read().where(F.size("found") > 0).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("all"))
     ordered = F.transform(
-        F.array_sort(F.transform(F.filter("_found", asked), lambda x: F.struct(
+        F.array_sort(F.transform(F.filter("all", asked), lambda x: F.struct(
             x["start"].alias("start"), F.array_position(order, x["rule"]).alias("nth"), x["end"].alias("end"), x["rule"].alias("rule")))),
         lambda x: F.struct(x["rule"].alias("rule"), x["start"].alias("start"), x["end"].alias("end")))
-    kind = "array<struct<rule:string,start:int,end:int>>"
-    return versions.select("doc_id", F.sha2("text", 256).alias("blob")).join(by_blob, "blob", "left").select(
-        "doc_id", "blob", F.coalesce(ordered.cast(kind), F.array().cast(kind)).alias("found"))
+    return all_spans.select("blob", ordered.cast(SPANS).alias("found"))
+
+
+def findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(doc_id, blob, found) for every row of ``versions``."""
+    return versions.select("doc_id", F.sha2("text", 256).alias("blob")).join(
+        ordered_spans(ledger, rules), "blob", "left").select(
+        "doc_id", "blob", F.coalesce("found", F.array().cast(SPANS)).alias("found"))
 
 
 def scan_documents(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
@@ -170,3 +175,24 @@ def spans_text(found: Column) -> Column:
     """``rule:start:end`` of each span, comma-joined."""
     return F.array_join(F.transform(found, lambda x: F.concat_ws(
         ":", x["rule"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def redact_documents(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]",
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every span in ``text_col`` replaced by ``mark`` (overlapping spans by
+    one); every other column and row stays as it is."""
+    update_ledger(key_and_text(docs, id_col, text_col), ledger, rules)
+    spans = ordered_spans(ledger, rules)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("blob")).join(spans, "blob", "left")
+    text = F.col(f"row.`{text_col}`")
+
+    def cut(state: Column, x: Column) -> Column:
+        fresh = F.concat(state["out"], text.substr(state["at"] + 1, x["start"] - state["at"]), F.lit(mark))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"),
+                        F.when(x["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"))
+
+    clean = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
+                        lambda s: F.concat(s["out"], text.substr(s["at"] + 1, F.length(text))))
+    return rows.select(*[(F.when(F.size("found") > 0, clean).otherwise(text) if c == text_col else F.col(f"row.`{c}`")).alias(c)
+                         for c in docs.columns])

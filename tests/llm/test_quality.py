@@ -1,0 +1,128 @@
+"""Quality rules and importance resampling."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from farebox.llm import resampling
+from farebox.llm.resampling import best_cut, keep_resampled, kth_greatest, labelled_sample, resample
+from farebox.llm.weak_supervision import fit_votes, judge_quality, measures, rules
+
+from .conftest import expected, rows
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_measures(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = set()
+    for i, w in enumerate(windows):
+        if often[w] > 1:
+            covered.update(range(i, i + 8))
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
+
+
+def test_base_measures(docs, texts):
+    want = []
+    for d, t in texts:
+        m = brute_measures(t)
+        want.append((d, *m, m[0] < 20 or 100 * m[4] > 30 * m[0]))
+    got = judge_quality(docs)
+    assert rows(got, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed") == expected(want)
+    assert got.where("kept and base_failed").count() == 0
+    assert got.where("kept is null or p_good is null").count() == 0
+
+
+def test_no_python_in_the_plan(docs):
+    plan = measures(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_votes_fit_finds_the_accuracies():
+    rng = np.random.default_rng(1)
+    good, bad = [0.95, 0.9, 0.99], [0.1, 0.3, 0.6]
+    patterns = Counter()
+    for _ in range(20_000):
+        p = good if rng.random() < 0.8 else bad
+        patterns[tuple(None if rng.random() < 0.2 else int(rng.random() < x) for x in p)] += 1
+    model = fit_votes(patterns)
+    assert abs(model.share - 0.8) < 0.05
+    assert np.abs(np.array(model.good) - good).max() < 0.05 and np.abs(np.array(model.bad) - bad).max() < 0.1
+    assert 0 < model.posterior((None, None, None)) < 1 and math.isclose(model.posterior((None,) * 3), model.share)
+    assert fit_votes({}).share == 0.5
+
+
+def test_rules_against_labels(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    judged = judge_quality(docs).join(labels, "doc_id").where("n_words >= 20").collect()
+    good = [r for r in judged if r["quality"] == 1]
+    bad = [r for r in judged if r["quality"] == 0]
+    assert sum(r["kept"] for r in good) >= 0.97 * len(good)
+    assert sum(not r["kept"] for r in bad) >= 0.95 * len(bad)
+    votes = measures(docs).select(*[v.alias(n) for n, v in rules().items()])
+    assert votes.distinct().count() <= 3 ** len(rules())
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    fitted, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
+    got = resample(docs, fitted).join(held, "doc_id").collect()
+    good, bad = ([r["kept"] for r in got if r["quality"] == q] for q in (1, 0))
+    assert len(bad) > 10 and sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_resample_draws_exactly_k(docs, texts, spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    got = resample(docs, labels, k=57).collect()
+    assert len(got) == len(texts)
+    keys = sorted((r["gumbel_key"] for r in got), reverse=True)
+    assert all(r["kept"] == (r["gumbel_key"] >= keys[56]) for r in got)
+    kept = keep_resampled(docs, labels, k=57)
+    assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
+    assert resample(docs, labels.where("doc_id < 0")).where("not kept").count() == 0
+    assert labelled_sample(labels, 10).count() == 10
+
+
+def test_weights_are_log_ratios_of_ngram_counts(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "x y"), (3, "a b z"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = {r["doc_id"]: (r["n_ngrams"], r["log_weight"]) for r in resample(docs, labels, k=2).collect()}
+    grams = {i: resampling.buckets_of(t.encode()) for i, t in ((1, "a b a"), (2, "x y"), (3, "a b z"))}
+    raw, target = Counter(np.concatenate(list(grams.values()))), Counter(grams[1])
+    total, n = sum(raw.values()), len(grams[1])
+    for i, own in grams.items():
+        want = sum(math.log((target[b] + 4) / (raw[b] / total * n + 4)) for b in own)
+        assert got[i][0] == len(own) and math.isclose(got[i][1], want, abs_tol=1e-9)
+    assert got[4] == (0, 0.0)
+
+
+@pytest.mark.parametrize("few", [3, 10_000])
+def test_kth_greatest(spark, few):
+    rng = np.random.default_rng(2)
+    values = [float(x) for x in np.concatenate([rng.normal(size=300), [0.5] * 40, [1e6, -1e6]])]
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    for k in (1, 2, 50, 170, len(values)):
+        assert kth_greatest(table, "v", k, few) == sorted(values, reverse=True)[k - 1]
+
+
+def test_best_cut():
+    assert best_cut(np.array([1.0, 2.0]), np.array([True, True])) == -np.inf
+    assert best_cut(np.array([3.0, 1.0, 2.0, 0.0]), np.array([True, False, True, False])) == 1.5
+    assert -np.inf < best_cut(np.array([1.0, 1.0, 5.0, 0.0]), np.array([True, False, True, False])) < 5
+
+
+def test_empty(empty, spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert judge_quality(empty).collect() == []
+    assert resample(empty, labels).collect() == []
+    assert keep_resampled(empty, labels).collect() == []
+
+
+__all__ = ["F"]
