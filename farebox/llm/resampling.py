@@ -9,10 +9,11 @@ plus Gumbel noise, which is a fixed function of the document id.
 n-grams: words, word pairs, and triples of word shapes (case, ending, symbols, length,
 whether the word repeats the one before), hashed to ``BUCKETS`` buckets.
 
-The target is taken from a bounded sample of labelled rows (``max_labelled``, least hash of
-the id first), small enough to send to every task by construction; the raw counts, the
-weights and the choice cover all documents.  ``k`` is the number of documents whose log
-weight is on the good side of the cut that separates the sample's good and bad rows best.
+Labels come from a bounded sample of labelled rows (``max_labelled``, least hash of the id
+first), small enough to send to every task by construction.  Half of it, by hash, gives the
+target; the other half, which the target has not seen, gives ``k``: the number of documents
+whose log weight is on the good side of the cut that separates that half's good and bad rows
+best.  The raw counts, the weights and the choice cover all documents.
 
 Defined cases: null or blank text has log weight 0; documents of equal key (repeated rows)
 are kept or rejected together; a document labelled twice takes its least label; labels that
@@ -36,7 +37,7 @@ from .word_codec import Remembered
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 20_000
-PRIOR = 4.0  # occurrences that each bucket is taken to have seen at the raw rate
+PRIOR = 100.0  # occurrences that each bucket is taken to have seen at the raw rate
 _SYMBOLS = set("#*$%&|<>")
 
 
@@ -80,26 +81,26 @@ def buckets_of(text: bytes) -> np.ndarray:
 
 
 def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(labelled_id, good): at most ``max_labelled`` rows of ``labels`` (doc_id, quality)."""
+    """(labelled_id, good, fits: whether it is in the half that gives the target): at most ``max_labelled`` rows of ``labels`` (doc_id, quality)."""
     return (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("labelled_id"))
             .agg(F.min("quality").cast("int").alias("good"))
-            .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(max_labelled))
+            .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(max_labelled)
+            .withColumn("fits", F.pmod(F.xxhash64("labelled_id", F.lit("half")), F.lit(2)) == 0))
 
 
 def count_ngrams(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket counts of all texts and of those with ``good`` = 1.  Each task sends at most
-    one row a bucket."""
+    """Bucket counts of all texts and of those of the target (``good`` = 1, ``fits``).  Each
+    task sends at most one row a bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            good = batch.column("good").to_pylist()
-            for (_, texts) in rows_of([batch]):
-                for text, label in zip(texts, good):
-                    own = np.bincount(buckets_of(text), minlength=BUCKETS)
-                    raw += own
-                    if label == 1:
-                        target += own
+            wanted = [g == 1 and f for g, f in zip(batch.column("good").to_pylist(), batch.column("fits").to_pylist())]
+            for _, texts in rows_of([batch]):
+                for text, in_target in zip(texts, wanted):
+                    np.add.at(raw, own := buckets_of(text), 1)
+                    if in_target:
+                        np.add.at(target, own, 1)
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
 
@@ -171,7 +172,7 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, ma
     id_type = source.schema["doc_id"].dataType.simpleString()
     sample = labelled_sample(labels, max_labelled)
     marked = source.join(F.broadcast(sample), source["doc_id"] == sample["labelled_id"], "left").select(
-        "doc_id", "text", F.xxhash64("text").alias("text_hash"), "good")
+        "doc_id", "text", F.xxhash64("text").alias("text_hash"), "good", "fits")
     ratios = log_ratios(*count_ngrams(marked))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,15 +180,15 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, ma
             for ids, texts in rows_of([batch]):
                 own = [buckets_of(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column("text_hash"), batch.column("good"), pa.array(map(len, own), pa.int64()),
+                    [ids, batch.column("text_hash"), batch.column("good"), batch.column("fits"), pa.array(map(len, own), pa.int64()),
                      pa.array([float(ratios[b].sum()) for b in own], pa.float64())],
-                    ["doc_id", "text_hash", "good", "n_ngrams", "log_weight"])
+                    ["doc_id", "text_hash", "good", "fits", "n_ngrams", "log_weight"])
 
     weighed = staged(marked.mapInArrow(
-        weigh, f"doc_id {id_type}, text_hash long, good int, n_ngrams long, log_weight double"
+        weigh, f"doc_id {id_type}, text_hash long, good int, fits boolean, n_ngrams long, log_weight double"
     ).withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "weights")
     if k is None:
-        known = weighed.where("good is not null").select("good", "log_weight").limit(4 * max_labelled).collect()
+        known = weighed.where("not fits").select("good", "log_weight").limit(4 * max_labelled).collect()
         cut = best_cut(np.array([r["log_weight"] for r in known]), np.array([r["good"] == 1 for r in known], bool))
         k = weighed.where(F.col("log_weight") >= F.lit(float(cut))).count()
     total = weighed.count()

@@ -19,6 +19,7 @@ are left behind.
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,8 @@ WINDOW = 8
 FEWEST_WORDS = 20
 MOST_REPEATED = 30  # percent
 
+PUNCTUATION = string.punctuation
+
 # Frequent function words of the languages served; a parameter of the rule, not a contract.
 FUNCTION_WORDS = ("the of and to in is that it was for on are as with be by this at or from "
                   "le la les de des du et en un une que qui dans pour par sur est au aux "
@@ -60,6 +63,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         (F.length(text) - F.length(_without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))).cast("long").alias("n_capitals"),
         (F.length(text) - F.length(_without(text, "!?"))).cast("long").alias("n_shouts"),
+        (F.length(text) - F.length(_without(text, PUNCTUATION))).cast("long").alias("n_punctuation"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.size(F.filter("words", lambda w: F.lower(w).isin(FUNCTION_WORDS))).cast("long").alias("n_function"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
@@ -95,6 +99,8 @@ def _vote(bad: Column, good: Column) -> Column:
 def rules() -> dict[str, Column]:
     """Votes by rule name, over the columns of ``measures``."""
     long_enough = F.col("n_words") >= 40
+    base_size = F.col("n_words") >= FEWEST_WORDS
+    marks = F.col("n_punctuation") / F.greatest(F.col("word_chars"), F.lit(1))
     per_word = F.col("word_chars") / F.col("n_words")
     capitals = F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1))
     return {
@@ -105,7 +111,8 @@ def rules() -> dict[str, Column]:
         "word_length": _vote((per_word < 2.5) | (per_word > 14), (per_word > 3.5) & (per_word < 9)),
         "lines": _vote((F.col("n_dup_lines") > 2) & (2 * F.col("n_dup_lines") > F.col("n_lines")), F.col("n_dup_lines") == 0),
         "variety": _vote(long_enough & (_share("n_distinct") < 0.15), long_enough & (_share("n_distinct") > 0.35)),
-        "function_words": _vote(long_enough & (_share("n_function") < 0.02), _share("n_function") > 0.08),
+        "punctuation": _vote(marks > 0.12, marks < 0.08),
+        "function_words": _vote(base_size & (_share("n_function") < 0.02), _share("n_function") > 0.08),
     }
 
 

@@ -95,10 +95,11 @@ def test_weights_are_log_ratios_of_ngram_counts(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     got = {r["doc_id"]: (r["n_ngrams"], r["log_weight"]) for r in resample(docs, labels, k=2).collect()}
     grams = {i: resampling.buckets_of(t.encode()) for i, t in ((1, "a b a"), (2, "x y"), (3, "a b z"))}
-    raw, target = Counter(np.concatenate(list(grams.values()))), Counter(grams[1])
-    total, n = sum(raw.values()), len(grams[1])
+    fits = labelled_sample(labels).where("good = 1 and fits").count()
+    raw, target = Counter(np.concatenate(list(grams.values()))), Counter(grams[1] if fits else [])
+    total, n = sum(raw.values()), sum(target.values())
     for i, own in grams.items():
-        want = sum(math.log((target[b] + 4) / (raw[b] / total * n + 4)) for b in own)
+        want = sum(math.log((target[b] + 100) / (raw[b] / total * n + 100)) for b in own)
         assert got[i][0] == len(own) and math.isclose(got[i][1], want, abs_tol=1e-9)
     assert got[4] == (0, 0.0)
 
