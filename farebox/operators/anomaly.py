@@ -1,6 +1,6 @@
 """Rolling-band anomaly detection.
 
-``rolling_band`` is the generic operator: a value is compared with the mean ± k·σ of a
+``rolling_bands`` is the generic operator: a value is compared with the mean ± k·σ of a
 row frame (the current row and the ``rows - 1`` rows before it, by row count, not by
 calendar days).  σ is the population standard deviation.  The centre is the plain mean
 or, given a weight column, the weighted mean ``Σ w·x / Σ w``.
@@ -11,11 +11,15 @@ partition holds one series of calendar days, never trips.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import band_label, pct_deviation, weighted_avg_over
+from ..functions.trip_exprs import all_of
 
 
 def rolling_window(order_by=S.DAY_KEYS, partition_by=(), rows: int = S.ROLLING_ROWS) -> WindowSpec:
@@ -30,100 +34,64 @@ def rolling_stats(value: str, window: WindowSpec, weight: str | None = None) ->
     return centre, F.stddev_pop(value).over(window)
 
 
-def rolling_band(
-    df: DataFrame,
-    value: str,
-    window: WindowSpec,
-    *,
-    mean_name: str,
-    std_name: str,
-    label_name: str,
-    deviation_name: str,
-    labels: tuple[str, str, str],
-    weight: str | None = None,
-    k: float = S.BAND_K,
-) -> DataFrame:
-    """Add centre, σ, a HIGH/LOW/NORMAL label and the rounded deviation % of ``value``.
-
-    Rows whose σ is NULL are dropped.  A σ of 0 is always NORMAL.
+@dataclass(frozen=True)
+class Band:
+    """One rolling band: the value, the names of the four columns it adds, its labels
+    (high, low, normal) and, for a weighted centre, the weight column."""
+
+    value: str
+    mean_name: str
+    std_name: str
+    label_name: str
+    deviation_name: str
+    labels: tuple[str, str, str]
+    weight: str | None = None
+
+
+def rolling_bands(df: DataFrame, window: WindowSpec, bands: Sequence[Band], k: float = S.BAND_K) -> DataFrame:
+    """Add centre, σ, a HIGH/LOW/NORMAL label and the rounded deviation % of each band's value.
+
+    All statistics share one window spec: one exchange, one sort, one Window operator.  Rows
+    in which some σ is NULL are dropped.  A σ of 0 is always NORMAL.
     """
-    centre, spread = rolling_stats(value, window, weight)
-    high, low, normal = labels
-    return (
-        df.withColumns({mean_name: centre, std_name: spread})
-        .where(F.col(std_name).isNotNull())
-        .withColumns(
-            {
-                label_name: band_label(value, mean_name, std_name, k, high, low, normal),
-                deviation_name: pct_deviation(value, mean_name),
-            }
-        )
-    )
+    stats, verdicts = {}, {}
+    for b in bands:
+        stats[b.mean_name], stats[b.std_name] = rolling_stats(b.value, window, b.weight)
+        verdicts[b.label_name] = band_label(b.value, b.mean_name, b.std_name, k, *b.labels)
+        verdicts[b.deviation_name] = pct_deviation(b.value, b.mean_name)
+    known = [F.col(b.std_name).isNotNull() for b in bands]
+    return df.withColumns(stats).where(all_of(known)).withColumns(verdicts)
+
+
+VOLUME_LABELS = (S.HIGH_VOLUME, S.LOW_VOLUME, S.NORMAL)
 
 
 def daily_volume_anomalies(daily: DataFrame, rows: int = S.ROLLING_ROWS, k: float = S.BAND_K) -> DataFrame:
     """Daily trip totals (all vendors) against their rolling band."""
     totals = daily.groupBy(*S.DAY_KEYS).agg(F.sum("trip_count").alias("total_trip_count"))
-    return rolling_band(
-        totals,
-        "total_trip_count",
-        rolling_window(S.DAY_KEYS, rows=rows),
-        mean_name="rolling_avg_7d",
-        std_name="rolling_stddev_7d",
-        label_name="anomaly_type",
-        deviation_name="volume_deviation_percent",
-        labels=(S.HIGH_VOLUME, S.LOW_VOLUME, S.NORMAL),
-        k=k,
-    )
+    band = Band("total_trip_count", "rolling_avg_7d", "rolling_stddev_7d", "anomaly_type",
+                "volume_deviation_percent", VOLUME_LABELS)
+    return rolling_bands(totals, rolling_window(S.DAY_KEYS, rows=rows), [band], k)
 
 
 def vendor_volume_anomalies(daily: DataFrame, rows: int = S.ROLLING_ROWS, k: float = S.BAND_K) -> DataFrame:
     """Per-vendor daily trip counts against the vendor's rolling band."""
-    return rolling_band(
-        daily.select(S.VENDOR, *S.DAY_KEYS, "trip_count"),
-        "trip_count",
-        rolling_window(S.DAY_KEYS, partition_by=(S.VENDOR,), rows=rows),
-        mean_name="vendor_rolling_avg_7d",
-        std_name="vendor_rolling_stddev_7d",
-        label_name="anomaly_type",
-        deviation_name="volume_deviation_percent",
-        labels=(S.HIGH_VOLUME, S.LOW_VOLUME, S.NORMAL),
-        k=k,
-    )
+    band = Band("trip_count", "vendor_rolling_avg_7d", "vendor_rolling_stddev_7d", "anomaly_type",
+                "volume_deviation_percent", VOLUME_LABELS)
+    window = rolling_window(S.DAY_KEYS, partition_by=(S.VENDOR,), rows=rows)
+    return rolling_bands(daily.select(S.VENDOR, *S.DAY_KEYS, "trip_count"), window, [band], k)
 
 
 def performance_anomalies(daily: DataFrame, rows: int = S.ROLLING_ROWS, k: float = S.BAND_K) -> DataFrame:
     """Per vendor, daily average duration and fare against a trip-weighted rolling
-    centre and an unweighted rolling σ.
-
-    All four window expressions share one spec, so the plan has one exchange on
-    VendorID, one sort and one Window operator.
-    """
-    w = rolling_window(S.DAY_KEYS, partition_by=(S.VENDOR,), rows=rows)
-    dur_mean, dur_std = rolling_stats("avg_trip_duration", w, weight="trip_count")
-    fare_mean, fare_std = rolling_stats("avg_fare_amount", w, weight="trip_count")
-    return (
-        daily.select(
-            S.VENDOR, *S.DAY_KEYS, "avg_trip_duration", "avg_fare_amount",
-            "avg_base_fare_per_mile", "avg_fare_per_mile",
-            dur_mean.alias("rolling_avg_duration"),
-            dur_std.alias("rolling_stddev_duration"),
-            fare_mean.alias("rolling_avg_fare"),
-            fare_std.alias("rolling_stddev_fare"),
-        )
-        .where(F.col("rolling_stddev_duration").isNotNull() & F.col("rolling_stddev_fare").isNotNull())
-        .withColumns(
-            {
-                "duration_anomaly_type": band_label(
-                    "avg_trip_duration", "rolling_avg_duration", "rolling_stddev_duration", k,
-                    S.HIGH_DURATION, S.LOW_DURATION, S.NORMAL_DURATION,
-                ),
-                "fare_anomaly_type": band_label(
-                    "avg_fare_amount", "rolling_avg_fare", "rolling_stddev_fare", k,
-                    S.HIGH_FARE, S.LOW_FARE, S.NORMAL_FARE,
-                ),
-                "duration_deviation_percent": pct_deviation("avg_trip_duration", "rolling_avg_duration"),
-                "fare_deviation_percent": pct_deviation("avg_fare_amount", "rolling_avg_fare"),
-            }
-        )
-    )
+    centre and an unweighted rolling σ."""
+    bands = [
+        Band("avg_trip_duration", "rolling_avg_duration", "rolling_stddev_duration", "duration_anomaly_type",
+             "duration_deviation_percent", (S.HIGH_DURATION, S.LOW_DURATION, S.NORMAL_DURATION), "trip_count"),
+        Band("avg_fare_amount", "rolling_avg_fare", "rolling_stddev_fare", "fare_anomaly_type",
+             "fare_deviation_percent", (S.HIGH_FARE, S.LOW_FARE, S.NORMAL_FARE), "trip_count"),
+    ]
+    kept = daily.select(S.VENDOR, *S.DAY_KEYS, "trip_count", "avg_trip_duration", "avg_fare_amount",
+                        "avg_base_fare_per_mile", "avg_fare_per_mile")
+    window = rolling_window(S.DAY_KEYS, partition_by=(S.VENDOR,), rows=rows)
+    return rolling_bands(kept, window, bands, k).drop("trip_count")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions import pct_deviation, ratio, score_label, weighted_avg_over
+from ..functions import pct_deviation, ratio, score_label, time_of_day, weighted_avg_over
 
 METRIC = "avg_fare_per_mile"
 WEIGHT = "total_trips"
@@ -66,12 +66,18 @@ def benchmark_score(
     )
 
 
-def time_based_fare_efficiency(trips: DataFrame, k: float = S.BAND_K) -> DataFrame:
-    """By (pickup_hour, time_of_day) against the all-hours benchmark."""
+def time_based_fare_efficiency(moments: DataFrame, k: float = S.BAND_K) -> DataFrame:
+    """By (pickup_hour, time_of_day) against the all-hours benchmark, from the hourly
+    pre-aggregate (``rollups.trip_moments``); the trips are not scanned."""
     groups = (
-        trips.where(F.col(S.HOUR).isNotNull() & F.col(S.TIME_OF_DAY).isNotNull())
-        .groupBy(S.HOUR, S.TIME_OF_DAY)
-        .agg(*_group_measures())
+        moments.where(F.col(S.HOUR).isNotNull())
+        .groupBy(S.HOUR, time_of_day().alias(S.TIME_OF_DAY))
+        .agg(
+            F.sum("n").alias(WEIGHT),
+            *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(name) for m, name in (
+                ("fare_per_mile", "avg_fare_per_mile"), ("base_fare_per_mile", "avg_base_fare_per_mile"),
+                ("trip_duration", "avg_duration"), ("trip_distance", "avg_distance"))],
+        )
     )
     scored = benchmark_score(groups, zscore_name="fare_efficiency_zscore", k=k)
     return scored.select(

@@ -37,8 +37,8 @@ def enrich_dropoff(trips: DataFrame, lookup: DataFrame) -> DataFrame:
 def enrich_zones(trips: DataFrame, zones: DataFrame | None, checked: bool = False) -> DataFrame:
     """C1 then C2.  With ``zones=None`` the six columns are added as NULL strings.
 
-    ``zones`` is key-checked and size-checked once (see ``checked_lookup``) unless the
-    caller passes an already checked lookup with ``checked=True``.
+    ``zones`` is key-checked (see ``checked_lookup``) unless the caller passes an already
+    checked lookup with ``checked=True``.
     """
     if zones is None:
         return trips.withColumns({c: F.lit(None).cast("string") for c in ZONE_COLUMNS})

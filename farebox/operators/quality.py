@@ -2,12 +2,12 @@
 
 One filter replaces the original row-id tagging and inner self-join: the same rows pass,
 with no extra shuffle and no dependence on an unstable id.  Counts and the per-rule
-report are one aggregation each (or an ``Observation`` riding on the pipeline's own job).
+report are one aggregation each; the jobs store both as one row (``gate_report``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -51,21 +51,6 @@ def apply_gate(df: DataFrame, on_error: str = "fail") -> DataFrame:
         raise
 
 
-def gate_with_metrics(df: DataFrame, name: str = "dq_gate") -> tuple[DataFrame, Observation]:
-    """B3 + B4 in one pass: the gated frame and an ``Observation`` of total/passed rows.
-
-    The counts are collected by the first action on the returned frame, without a
-    separate counting job.
-    """
-    obs = Observation(name)
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.coalesce(pass_condition(), F.lit(False))).alias("passed_rows"),
-    )
-    return observed.filter(pass_condition()), obs
-
-
 def dq_summary(df: DataFrame) -> DataFrame:
     """One row ``total_rows, passed_rows, failed_rows`` over the unfiltered input."""
     passed = F.count_if(F.coalesce(pass_condition(), F.lit(False)))
@@ -105,3 +90,22 @@ def dq_rule_report(df: DataFrame) -> DataFrame:
         (F.col("total_rows") - F.col("passed_rows")).alias("failed_rows"),
         F.try_divide(F.col("passed_rows").cast("double"), F.col("total_rows")).alias("pass_ratio"),
     )
+
+
+def gate_report(df: DataFrame) -> DataFrame:
+    """B4 + B5 as one row from one aggregation over the unfiltered input (it reads the six
+    columns that the rules judge): ``total_rows, passed_rows, failed_rows, rules``, where
+    ``rules`` holds ``(rule, passed_rows, failed_rows)`` in rule order."""
+    rules = quality_rules()
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.coalesce(pass_condition(), F.lit(False))).alias("passed_rows"),
+        *[F.count_if(F.coalesce(rule, F.lit(False))).alias(f"r{i}") for i, (_, rule) in enumerate(rules)],
+    )
+    per_rule = [
+        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("passed_rows"),
+                 (F.col("total_rows") - F.col(f"r{i}")).alias("failed_rows"))
+        for i, (name, _) in enumerate(rules)
+    ]
+    return counts.select("total_rows", "passed_rows", (F.col("total_rows") - F.col("passed_rows")).alias("failed_rows"),
+                         F.array(*per_rule).alias("rules"))

@@ -1,7 +1,8 @@
-"""Rollups of enriched trips.
+"""Rollups of enriched trips (D1-D3), all built from one pre-aggregate.
 
-Each is one hash aggregation with a map-side partial step: the shuffle carries one
-partial row per key and map task, never the trips themselves.
+``trip_moments`` is one hash aggregation with a map-side partial step: the shuffle carries
+one partial row per key and map task, never the trips themselves.  Each rollup merges its
+rows; the jobs store it and merge new batches into it.
 """
 
 from __future__ import annotations
@@ -12,46 +13,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-def daily_trip_stats(trips: DataFrame) -> DataFrame:
-    """By (year, month, day, VendorID): count, 5 averages, 2 revenue sums."""
-    return trips.groupBy(S.YEAR, S.MONTH, S.DAY, S.VENDOR).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg(S.DURATION_MIN).alias("avg_trip_duration"),
-        F.avg(S.BASE_FARE_PER_MILE).alias("avg_base_fare_per_mile"),
-        F.avg(S.FARE_PER_MILE).alias("avg_fare_per_mile"),
-        F.avg(S.FARE).alias("avg_fare_amount"),
-        F.avg(S.DISTANCE).alias("avg_trip_distance"),
-        F.sum(S.FARE).alias("base_revenue"),
-        F.sum(S.TOTAL).alias("gross_revenue"),
-    )
-
-
-def hourly_trip_stats(trips: DataFrame) -> DataFrame:
-    """By (year, month, day, hour): count and 3 averages."""
-    return trips.groupBy(S.YEAR, S.MONTH, S.DAY, S.HOUR).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg(S.DURATION_MIN).alias("avg_trip_duration"),
-        F.avg(S.BASE_FARE_PER_MILE).alias("avg_base_fare_per_mile"),
-        F.avg(S.FARE_PER_MILE).alias("avg_fare_per_mile"),
-    )
-
-
-def vendor_performance(trips: DataFrame) -> DataFrame:
-    """D3: by VendorID: count, 4 averages, 2 sample standard deviations.
-
-    Sample stddev (``stddev_samp``) is NULL for a vendor with a single trip.
-    """
-    return trips.groupBy(S.VENDOR).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg(S.DURATION_MIN).alias("avg_trip_duration"),
-        F.avg(S.BASE_FARE_PER_MILE).alias("avg_base_fare_per_mile"),
-        F.avg(S.FARE_PER_MILE).alias("avg_fare_per_mile"),
-        F.avg(S.FARE).alias("avg_fare_amount"),
-        F.stddev_samp(S.BASE_FARE_PER_MILE).alias("base_fare_per_mile_stddev"),
-        F.stddev_samp(S.FARE_PER_MILE).alias("fare_per_mile_stddev"),
-    )
-
-
 # ---------------------------------------------------------------------------
 # One pre-aggregate for all three rollups.
 # ---------------------------------------------------------------------------
@@ -92,7 +53,7 @@ def _avg(name: str) -> Column:
 
 
 def daily_from_moments(moments: DataFrame) -> DataFrame:
-    """D1 from :func:`trip_moments` (same columns and values as ``daily_trip_stats``)."""
+    """D1 by (year, month, day, VendorID): count, 5 averages, 2 revenue sums."""
     return moments.groupBy(S.YEAR, S.MONTH, S.DAY, S.VENDOR).agg(
         F.sum("n").alias("trip_count"),
         _avg("trip_duration").alias("avg_trip_duration"),
@@ -106,7 +67,7 @@ def daily_from_moments(moments: DataFrame) -> DataFrame:
 
 
 def hourly_from_moments(moments: DataFrame) -> DataFrame:
-    """D2 from :func:`trip_moments`."""
+    """D2 by (year, month, day, hour): count and 3 averages."""
     return moments.groupBy(S.YEAR, S.MONTH, S.DAY, S.HOUR).agg(
         F.sum("n").alias("trip_count"),
         _avg("trip_duration").alias("avg_trip_duration"),
@@ -116,7 +77,8 @@ def hourly_from_moments(moments: DataFrame) -> DataFrame:
 
 
 def vendors_from_moments(moments: DataFrame) -> DataFrame:
-    """D3 from :func:`trip_moments`, merging mean and M2 in parallel (Chan et al.):
+    """D3 by VendorID: count, 4 averages, 2 sample standard deviations (NULL for one trip),
+    merging mean and M2 in parallel (Chan et al.):
 
     M2 = Σ M2_i + Σ n_i (mean_i - mean)², stddev_samp = sqrt(M2 / (N - 1)), NULL for N ≤ 1.
 
@@ -148,3 +110,18 @@ def vendors_from_moments(moments: DataFrame) -> DataFrame:
         spreads[0].alias("base_fare_per_mile_stddev"),
         spreads[1].alias("fare_per_mile_stddev"),
     )
+
+
+def daily_trip_stats(trips: DataFrame) -> DataFrame:
+    """D1 of enriched trips."""
+    return daily_from_moments(trip_moments(trips))
+
+
+def hourly_trip_stats(trips: DataFrame) -> DataFrame:
+    """D2 of enriched trips."""
+    return hourly_from_moments(trip_moments(trips))
+
+
+def vendor_performance(trips: DataFrame) -> DataFrame:
+    """D3 of enriched trips."""
+    return vendors_from_moments(trip_moments(trips))

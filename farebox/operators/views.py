@@ -1,7 +1,7 @@
-"""Analytic views E1-E10 over the enriched trips (T) and the rollups (D, H, V).
+"""Analytic views E1-E10 over the rollups (D, H, V).
 
 Views return unordered frames; the serving order of each view is in ``VIEW_ORDER``
-and applied by :func:`present` at the outermost call only.  E5-E10 re-aggregate the
+and applied by :func:`present` at the outermost call only.  All of them re-aggregate the
 rollups instead of rescanning trips.
 """
 
@@ -15,37 +15,35 @@ from ..functions import ratio, weighted_avg
 
 
 def _pickup_date() -> Column:
-    return F.to_date(F.col(S.PICKUP))
+    return F.make_date(S.YEAR, S.MONTH, S.DAY)
 
 
 def _pickup_month_text() -> Column:
-    return F.date_format(F.col(S.PICKUP), "yyyy-MM")
+    return F.date_format(_pickup_date(), "yyyy-MM")
 
 
-def trip_counts_daily(trips: DataFrame) -> DataFrame:
+def _counted(daily: DataFrame, *keys: Column) -> DataFrame:
+    return daily.groupBy(*keys).agg(F.sum("trip_count").alias("trip_count"))
+
+
+def trip_counts_daily(daily: DataFrame) -> DataFrame:
     """Trips per pickup date."""
-    return trips.groupBy(_pickup_date().alias("pickup_date")).agg(F.count(F.lit(1)).alias("trip_count"))
+    return _counted(daily, _pickup_date().alias("pickup_date"))
 
 
-def trip_counts_monthly(trips: DataFrame) -> DataFrame:
+def trip_counts_monthly(daily: DataFrame) -> DataFrame:
     """Trips per pickup month, as ``yyyy-MM`` text."""
-    return trips.groupBy(_pickup_month_text().alias("pickup_month")).agg(
-        F.count(F.lit(1)).alias("trip_count")
-    )
+    return _counted(daily, _pickup_month_text().alias("pickup_month"))
 
 
-def trip_counts_vendor_daily(trips: DataFrame) -> DataFrame:
+def trip_counts_vendor_daily(daily: DataFrame) -> DataFrame:
     """Trips per pickup date and vendor."""
-    return trips.groupBy(_pickup_date().alias("pickup_date"), F.col(S.VENDOR)).agg(
-        F.count(F.lit(1)).alias("trip_count")
-    )
+    return _counted(daily, _pickup_date().alias("pickup_date"), F.col(S.VENDOR))
 
 
-def trip_counts_vendor_monthly(trips: DataFrame) -> DataFrame:
+def trip_counts_vendor_monthly(daily: DataFrame) -> DataFrame:
     """Trips per pickup month text and vendor."""
-    return trips.groupBy(_pickup_month_text().alias("pickup_month"), F.col(S.VENDOR)).agg(
-        F.count(F.lit(1)).alias("trip_count")
-    )
+    return _counted(daily, _pickup_month_text().alias("pickup_month"), F.col(S.VENDOR))
 
 
 def _summary_measures() -> list[Column]:

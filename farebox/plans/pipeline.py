@@ -10,40 +10,39 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
 from ..operators.clean import dedup_trips, parse_timestamps, temporal_filter
 from ..operators.enrich import enrich_zones
 from ..operators.features import add_trip_features
-from ..operators.quality import apply_gate, dq_summary, gate_with_metrics
-from ..operators.rollups import (
-    daily_from_moments,
-    hourly_from_moments,
-    trip_moments,
-    vendors_from_moments,
-)
-from ..sources.sinks import write_jdbc, write_partitioned, write_table
+from ..operators.quality import apply_gate, gate_report
+from ..operators.rollups import daily_from_moments, hourly_from_moments, trip_moments, vendors_from_moments
+from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
+from ..sources.trips import settle_types
 from ..sources.zones import checked_lookup
 
+MOMENTS_TABLE = "trip_moments"
 
-def clean_and_derive(gated: DataFrame, zones: DataFrame | None, zones_checked: bool = False) -> DataFrame:
-    """Dedup → zone lookups → parse → temporal filter → derived columns.
 
-    The duplicate check runs before the lookups: the lookup key is unique (checked), so
-    the zone columns are a function of the location ids and rows that are equal before
-    the lookups are exactly the rows that are equal after them.  Deduplicating first
-    shuffles the narrow raw rows instead of rows carrying six more strings, and the
-    broadcast lookups run after the shuffle, in the same stage.
+def clean_and_derive(gated: DataFrame, zones: DataFrame | None, zones_checked: bool = False,
+                     on_fraction: str = "fail") -> DataFrame:
+    """Dedup → declared types → zone lookups → parse → temporal filter → derived columns.
+
+    The duplicate check runs on the values as read (8.5 and 8 passengers differ) and before
+    the lookups: the lookup key is unique (checked), so the zone columns are a function of
+    the location ids and rows that are equal before the lookups are exactly the rows that
+    are equal after them.  Deduplicating first shuffles the narrow raw rows instead of rows
+    carrying six more strings, and the lookups run after the shuffle, in the same stage.
     """
-    enriched = enrich_zones(dedup_trips(gated), zones, checked=zones_checked)
+    settled = settle_types(dedup_trips(gated), on_fraction)
+    enriched = enrich_zones(settled, zones, checked=zones_checked)
     return add_trip_features(temporal_filter(parse_timestamps(enriched)))
 
 
-def enriched_trips(raw: DataFrame, zones: DataFrame | None, on_error: str = "fail") -> DataFrame:
-    """The whole chain gate → C1 → C2 → C3 → C4/C5 → C6-C11 as one lazy plan."""
-    return clean_and_derive(apply_gate(raw, on_error), zones)
+def enriched_trips(raw: DataFrame, zones: DataFrame | None, on_error: str = "fail", on_fraction: str = "fail") -> DataFrame:
+    """The whole chain gate → C3 → C1 → C2 → C4/C5 → C6-C11 as one lazy plan."""
+    return clean_and_derive(apply_gate(raw, on_error), zones, on_fraction=on_fraction)
 
 
 @dataclass
@@ -52,21 +51,16 @@ class PipelineResult:
     daily: DataFrame
     hourly: DataFrame
     vendors: DataFrame
-    gate: Observation
-    raw: DataFrame
+    moments: DataFrame
+    report: DataFrame
 
     def gate_counts(self) -> dict[str, int]:
-        """``{"total_rows", "passed_rows"}`` of the gate, observed during the trips write.
+        """``{"total_rows", "passed_rows"}`` of the gate, from the stored report."""
+        return self.report.select("total_rows", "passed_rows").first().asDict()
 
-        When no row passes, adaptive execution replaces the plan part that carried the
-        observed metrics with an empty relation and the observation stays unfilled;
-        then the counts come from one aggregation over the raw input instead.
-        """
-        try:
-            return dict(self.gate.get)
-        except Exception:
-            row = dq_summary(self.raw).first()
-            return {"total_rows": row["total_rows"], "passed_rows": row["passed_rows"]}
+    def rule_report(self) -> dict[str, int]:
+        """Failed rows by rule, from the stored report."""
+        return {r["rule"]: r["failed_rows"] for r in self.report.first()["rules"]}
 
 
 def run_pipeline(
@@ -76,47 +70,38 @@ def run_pipeline(
     out_dir: str,
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
+    jdbc_connections: int = JDBC_CONNECTIONS,
+    on_fraction: str = "fail",
 ) -> PipelineResult:
-    """Run the batch job: write the trips table (partitioned by pickup year/month, laid
-    out for time-range access), then one hourly x vendor pre-aggregate of the written
-    table, and the three rollups from that.  Returns frames that read the written
-    tables, plus the gate counts (collected while the trips table is written, with no
-    extra job; see :meth:`PipelineResult.gate_counts`).
-
-    With ``jdbc_url`` the four tables are also published to the relational store
-    (append, as the original job), each read from its written parquet, so publishing
-    recomputes nothing.
+    """Run the batch job over all raw files: the gate report, the trips table (partitioned by
+    pickup year/month, laid out for time-range access), one hourly x vendor pre-aggregate of
+    the written table, and the three rollups from that.  Every table is replaced: a month
+    that is no longer in the input is no longer in the output.  Returns frames that read the
+    written tables.
+
+    With ``jdbc_url`` the four tables are also published to the relational store, each read
+    from its written parquet (see ``sinks.publication``).
     """
-    lookup = checked_lookup(zones) if zones is not None else None
-    gated, gate_obs = gate_with_metrics(raw)
-    trips = clean_and_derive(gated, lookup, zones_checked=True)
+    report = _stored(spark, gate_report(raw), f"{out_dir}/{S.REPORT_TABLE}")
+    trips = enriched_trips(raw, zones, on_fraction=on_fraction)
     trips_path = f"{out_dir}/{S.TRIPS_TABLE}"
-    write_partitioned(trips, trips_path)
+    write_partitioned(trips, trips_path, replace_table=True)
     # Known schema: if no row passed the gate there are no data files to infer it from.
     stored = spark.read.schema(trips.schema).parquet(trips_path)
-    # One scan of the written trips feeds all three rollups through the pre-aggregate
-    # (bounded by calendar hours x vendors).  It is persisted, not checkpointed: its
-    # lineage is one aggregation over the written table, so a lost block is recomputed
-    # from files.
-    moments = trip_moments(stored).persist(StorageLevel.MEMORY_AND_DISK)
-    outputs = {}
-    for name, build in (
-        (S.DAILY_TABLE, daily_from_moments),
-        (S.HOURLY_TABLE, hourly_from_moments),
-        (S.VENDOR_TABLE, vendors_from_moments),
-    ):
-        path = f"{out_dir}/{name}"
-        write_table(build(moments), path)
-        outputs[name] = spark.read.parquet(path)
-    moments.unpersist()
+    moments = _stored(spark, trip_moments(stored), f"{out_dir}/{MOMENTS_TABLE}")
+    outputs = {
+        name: _stored(spark, build(moments), f"{out_dir}/{name}")
+        for name, build in ((S.DAILY_TABLE, daily_from_moments), (S.HOURLY_TABLE, hourly_from_moments),
+                            (S.VENDOR_TABLE, vendors_from_moments))
+    }
     if jdbc_url:
+        modes = publication(full_run=True)
         for name, df in ((S.TRIPS_TABLE, stored), *outputs.items()):
-            write_jdbc(df, jdbc_url, name, jdbc_properties)
-    return PipelineResult(
-        trips=stored,
-        daily=outputs[S.DAILY_TABLE],
-        hourly=outputs[S.HOURLY_TABLE],
-        vendors=outputs[S.VENDOR_TABLE],
-        gate=gate_obs,
-        raw=raw,
-    )
+            write_jdbc(df, jdbc_url, name, jdbc_properties, modes[name], jdbc_connections)
+    return PipelineResult(trips=stored, daily=outputs[S.DAILY_TABLE], hourly=outputs[S.HOURLY_TABLE],
+                          vendors=outputs[S.VENDOR_TABLE], moments=moments, report=report)
+
+
+def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)

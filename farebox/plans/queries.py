@@ -29,7 +29,7 @@ from ..sources import testdata
 from ..sources.sinks import clustered_layout, write_partitioned
 from ..sources.trips import read_trips
 from ..sources.zones import checked_lookup, read_zones
-from ..streaming.incremental import incremental_load
+from ..streaming.incremental import BATCH, TripStore, incremental_load
 from .catalog import register_views, view_row_counts
 from .pipeline import enriched_trips, run_pipeline
 
@@ -89,16 +89,20 @@ def trips(spark: SparkSession, d: str) -> DataFrame:
     return enriched_trips(raw(spark, d), zones(spark, d))
 
 
+def moments(spark: SparkSession, d: str) -> DataFrame:
+    return rollups.trip_moments(trips(spark, d))
+
+
 def daily(spark: SparkSession, d: str) -> DataFrame:
-    return rollups.daily_trip_stats(trips(spark, d))
+    return rollups.daily_from_moments(moments(spark, d))
 
 
 def hourly(spark: SparkSession, d: str) -> DataFrame:
-    return rollups.hourly_trip_stats(trips(spark, d))
+    return rollups.hourly_from_moments(moments(spark, d))
 
 
 def vendors(spark: SparkSession, d: str) -> DataFrame:
-    return rollups.vendor_performance(trips(spark, d))
+    return rollups.vendors_from_moments(moments(spark, d))
 
 
 # ---------------------------------------------------------------------------
@@ -119,45 +123,61 @@ def q_zones_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 NEWER_COLUMN = "airport_fee"
+WAVES = ("src=a", "src=b", "src=c")
 
 
-def _split_year(df: DataFrame) -> int:
-    """Middle pickup year of ``df`` (one tiny aggregate), to land data in two waves."""
-    row = df.agg(F.min(F.year(S.PICKUP)).alias("lo"), F.max(F.year(S.PICKUP)).alias("hi")).first()
-    return (row["lo"] + row["hi"] + 1) // 2
-
-
-def _older_wave(df: DataFrame):
-    """Rows of the first landing wave (a NULL pickup lands with the first wave)."""
-    return F.coalesce(F.year(S.PICKUP) < F.lit(_split_year(df)), F.lit(True))
+def _land(df: DataFrame, path: str):
+    """Land ``df`` in three waves of hive-style folders, one at each step: the first half of
+    the pickup years (and trips without a time) with the nine columns; the first halves of
+    the later years with one more column; the rest with other types for two columns."""
+    parsed = parse_timestamps(df.select(S.PICKUP), (S.PICKUP,))
+    years = parsed.agg(F.min(F.year(S.PICKUP)).alias("lo"), F.max(F.year(S.PICKUP)).alias("hi")).first()
+    pickup = F.col(S.PICKUP).try_cast(T.TimestampNTZType())
+    late = F.coalesce(F.year(pickup) >= F.lit((years["lo"] + years["hi"] + 1) // 2), F.lit(False))
+    newer = df.withColumn(NEWER_COLUMN, F.col(S.TOTAL) - F.col(S.FARE))
+    retyped = newer.withColumns({S.PASSENGERS: F.col(S.PASSENGERS).cast("double"), S.VENDOR: F.col(S.VENDOR).cast("bigint")})
+    for folder, wave in zip(WAVES, (df.where(~late), newer.where(late & (F.month(pickup) <= 6)),
+                                    retyped.where(late & (F.month(pickup) > 6)))):
+        wave.write.parquet(f"{path}/{folder}")
+        yield folder
 
 
 def q_schema_merge(spark: SparkSession, d: str) -> DataFrame:
-    """A3: older files carry the nine columns, newer files one more; one merged read."""
-    path = staging_path(spark, "raw-two-schemas")
-    frame = raw(spark, d)
-    older = _older_wave(frame)
-    frame.where(older).write.parquet(path)
-    (
-        frame.where(~older)
-        .withColumn(NEWER_COLUMN, F.col(S.TOTAL) - F.col(S.FARE))
-        .write.mode("append")
-        .parquet(path)
-    )
+    """A3: files with the nine columns, with one more, and with other types, in hive-style
+    folders; one read keeps every column."""
+    path = staging_path(spark, "raw-three-schemas")
+    for _ in _land(raw(spark, d), path):
+        pass
     return read_trips(spark, path)
 
 
-def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
-    """A4: two waves of files, two availableNow runs; the daily rollup of the store."""
+def _loaded(spark: SparkSession, d: str) -> TripStore:
+    """A4: three waves of files, three availableNow runs."""
     landing = staging_path(spark, "landing")
     store_root = staging_path(spark, "store")
-    frame = raw(spark, d)
-    older = _older_wave(frame)
-    frame.where(older).write.parquet(landing)
-    incremental_load(spark, landing, zones(spark, d), store_root)
-    frame.where(~older).write.mode("append").parquet(landing)
-    store = incremental_load(spark, landing, zones(spark, d), store_root)
-    return spark.read.parquet(store.daily)
+    for _ in _land(raw(spark, d), landing):
+        store = incremental_load(spark, landing, zones(spark, d), store_root)
+    return store
+
+
+def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
+    """A4: the daily rollup of the store after three waves."""
+    return spark.read.parquet(_loaded(spark, d).daily)
+
+
+def q_incremental_trips(spark: SparkSession, d: str) -> DataFrame:
+    """A4: the trips of the store."""
+    return spark.read.parquet(_loaded(spark, d).trips).drop(BATCH, "src", NEWER_COLUMN)
+
+
+def q_incremental_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """A4: the hourly rollup of the store."""
+    return spark.read.parquet(_loaded(spark, d).hourly)
+
+
+def q_incremental_vendors(spark: SparkSession, d: str) -> DataFrame:
+    """A4: the vendor table of the store."""
+    return _loaded(spark, d).read_vendors(spark)
 
 
 def q_write_partitioned(spark: SparkSession, d: str) -> DataFrame:
@@ -170,17 +190,17 @@ def q_write_partitioned(spark: SparkSession, d: str) -> DataFrame:
 def q_register_views(spark: SparkSession, d: str) -> DataFrame:
     """Run the batch pipeline, publish its tables and 15 views, count view rows."""
     result = run_pipeline(spark, raw(spark, d), zones(spark, d), staging_path(spark, "pipeline"))
-    names = register_views(spark, result.trips, result.daily, result.hourly, result.vendors)
+    names = register_views(spark, result.trips, result.daily, result.hourly, result.vendors, result.moments)
     return view_row_counts(spark, names)
 
 
 def q_missing_months(spark: SparkSession, d: str) -> DataFrame:
     """Months with no landed trip in the years the raw trips span."""
-    return missing_months(raw(spark, d))
+    return missing_months(parse_timestamps(raw(spark, d)))
 
 
 def q_clustered_layout(spark: SparkSession, d: str) -> DataFrame:
-    """Trips range-partitioned on pickup time and sorted for range access."""
+    """Trips laid out by time slice and salt, sorted for range access."""
     return clustered_layout(trips(spark, d))
 
 
@@ -244,6 +264,9 @@ QUERIES: dict[str, Query] = {
     "zones_scan": q_zones_scan,
     "schema_merge": q_schema_merge,
     "incremental_load": q_incremental_load,
+    "incremental_trips": q_incremental_trips,
+    "incremental_hourly": q_incremental_hourly,
+    "incremental_vendors": q_incremental_vendors,
     "write_partitioned": q_write_partitioned,
     "register_views": q_register_views,
     "missing_months": q_missing_months,
@@ -272,10 +295,10 @@ QUERIES: dict[str, Query] = {
     "hourly_trip_stats": hourly,
     "vendor_performance": vendors,
     # E: views
-    "trip_counts_daily": _on(trips, views.trip_counts_daily),
-    "trip_counts_monthly": _on(trips, views.trip_counts_monthly),
-    "trip_counts_vendor_daily": _on(trips, views.trip_counts_vendor_daily),
-    "trip_counts_vendor_monthly": _on(trips, views.trip_counts_vendor_monthly),
+    "trip_counts_daily": _on(daily, views.trip_counts_daily),
+    "trip_counts_monthly": _on(daily, views.trip_counts_monthly),
+    "trip_counts_vendor_daily": _on(daily, views.trip_counts_vendor_daily),
+    "trip_counts_vendor_monthly": _on(daily, views.trip_counts_vendor_monthly),
     "daily_summary_metrics": _on(daily, views.daily_summary_metrics),
     "monthly_summary_metrics": _on(daily, views.monthly_summary_metrics),
     "hourly_summary_metrics": _on(hourly, views.hourly_summary_metrics),
@@ -285,7 +308,7 @@ QUERIES: dict[str, Query] = {
     "daily_volume_anomalies": _on(daily, anomaly.daily_volume_anomalies),
     "vendor_volume_anomalies": _on(daily, anomaly.vendor_volume_anomalies),
     "performance_anomalies": _on(daily, anomaly.performance_anomalies),
-    "time_based_fare_efficiency": _on(trips, benchmark.time_based_fare_efficiency),
+    "time_based_fare_efficiency": _on(moments, benchmark.time_based_fare_efficiency),
     "route_fare_efficiency": _on(trips, benchmark.route_fare_efficiency),
 }
 

@@ -53,9 +53,6 @@ ZONE_SCHEMA = T.StructType(
         T.StructField(SERVICE_ZONE, T.StringType()),
     ]
 )
-# A zone lookup with at most this many rows is broadcast to the trip scan; a larger one
-# is joined with a shuffle.  The real lookup has a few hundred rows.
-ZONE_BROADCAST_MAX_ROWS = 100_000
 
 # ---------------------------------------------------------------------------
 # Data quality gate: fixed limits (inclusive) of the row rules.
@@ -125,3 +122,4 @@ TRIPS_TABLE = "taxi_trips"
 DAILY_TABLE = "daily_trip_stats"
 HOURLY_TABLE = "hourly_trip_stats"
 VENDOR_TABLE = "vendor_performance"
+REPORT_TABLE = "gate_report"

@@ -41,16 +41,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when
-    neither is set - a local test session - a folder is chosen and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only a session
+    with a ``local`` master may go without: a folder is chosen and registered.  On a cluster
+    a machine-local folder would lose what other machines wrote, so there the setting is
+    required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    try:  # classic sessions only; a Spark Connect session exposes no SparkContext
-        context = spark.sparkContext
-    except Exception:
-        raise RuntimeError("set spark.checkpoint.dir to the cluster's shared folder") from None
+    if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+        raise RuntimeError("set spark.checkpoint.dir to the cluster's shared folder")
+    context = spark.sparkContext
     root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="farebox-checkpoints-")

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
+# Parts of a (month, part of month) in the layout.  A pickup instant that a third of all
+# trips share is spread over this many tasks.
+LAYOUT_SALTS = 16
+DAYS_PER_SLICE = 8
+
+
 def clustered_layout(
     trips: DataFrame,
     num_partitions: int | None = None,
@@ -16,22 +22,18 @@ def clustered_layout(
 ) -> DataFrame:
     """Lay trips out for fast access by pickup time and by (vendor, pickup time).
 
-    Range-partitioning on the pickup time gives every write task one contiguous time
-    slice (so each file covers a narrow time range and few files land in each month
-    directory).  Inside a task, rows are sorted by the write partition keys (so the
-    writer needs no extra sort), then vendor and pickup time; parquet min/max
-    statistics then prune row groups for both access paths.
-
-    The range key is (pickup time, row hash): when one pickup instant holds a large
-    share of all rows, the sampled bounds can still split it across tasks.
+    Trips are hash-partitioned on year, month, slice of the month and a salt (a hash of the
+    row modulo ``LAYOUT_SALTS``), so each write task holds narrow stretches of time and a
+    month has at most slices x salts files, a hot instant is split, and no sampling pass
+    runs.  Inside a task, rows are sorted by the write partition keys (so the writer needs
+    no extra sort), then vendor and pickup time; parquet min/max statistics then prune row
+    groups for both access paths.
     """
-    keys = [F.col(S.PICKUP), F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns])]
-    ranged = (
-        trips.repartitionByRange(num_partitions, *keys)
-        if num_partitions
-        else trips.repartitionByRange(*keys)
-    )
-    return ranged.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
+    pickup_slice = F.floor((F.col(S.DAY) - 1) / DAYS_PER_SLICE)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(LAYOUT_SALTS))
+    keys = [F.col(S.YEAR), F.col(S.MONTH), pickup_slice, salt]
+    dealt = trips.repartition(num_partitions, *keys) if num_partitions else trips.repartition(*keys)
+    return dealt.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
 
 
 def write_partitioned(
@@ -40,17 +42,19 @@ def write_partitioned(
     mode: str = "overwrite",
     partition_by: tuple[str, ...] = S.PARTITION_KEYS,
     layout: bool = True,
+    replace_table: bool = False,
 ) -> None:
     """A5: trips → parquet partitioned by pickup year and month.
 
     With ``mode="overwrite"`` only the partitions present in ``trips`` are replaced
-    (dynamic partition overwrite), so re-running a batch is idempotent and other
-    months stay untouched.
+    (dynamic partition overwrite), so re-running a batch is idempotent and other months
+    stay untouched.  ``replace_table`` replaces the whole table: months that are no longer
+    in ``trips`` go.
     """
     frame = clustered_layout(trips, partition_by=partition_by) if layout else trips
     (
         frame.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_table else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -72,21 +76,25 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df.write.mode(mode).parquet(path)
 
 
+JDBC_CONNECTIONS = 8
+
+
 def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-                mode: str = "append", num_partitions: int | None = None, batch_size: int = 10_000):
+                mode: str = "append", num_partitions: int = JDBC_CONNECTIONS, batch_size: int = 10_000):
     """A configured ``DataFrameWriter`` for a relational table (not yet saved).
 
-    The original job appends each run's rows.  ``num_partitions`` bounds the number of
-    concurrent connections (the frame is coalesced to it, no shuffle); ``batchsize``
-    sets rows per insert batch.  Call ``.save()`` on the result.
+    ``num_partitions`` bounds the number of concurrent connections (the frame is coalesced
+    to it, no shuffle); ``batchsize`` sets rows per insert batch.  ``mode="overwrite"``
+    truncates the table and loads it, keeping its definition.  Call ``.save()`` on the
+    result.
     """
-    frame = df.coalesce(num_partitions) if num_partitions else df
     writer = (
-        frame.write.format("jdbc")
+        df.coalesce(num_partitions).write.format("jdbc")
         .mode(mode)
         .option("url", url)
         .option("dbtable", table)
         .option("batchsize", str(batch_size))
+        .option("truncate", "true")
     )
     for key, value in (properties or {}).items():
         writer = writer.option(key, value)
@@ -94,6 +102,14 @@ def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict[str, str]
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-               mode: str = "append", num_partitions: int | None = None) -> None:
-    """Write ``df`` to ``table`` over JDBC (append by default, as the original job)."""
+               mode: str = "append", num_partitions: int = JDBC_CONNECTIONS) -> None:
+    """Write ``df`` to ``table`` over JDBC."""
     jdbc_writer(df, url, table, properties, mode, num_partitions).save()
+
+
+def publication(full_run: bool) -> dict[str, str]:
+    """Write mode of each published table.  Rollups are computed over all stored trips, so
+    they replace what is there; a second run cannot double a key.  Trips are replaced by a
+    full run and appended by an incremental batch."""
+    return {S.TRIPS_TABLE: "overwrite" if full_run else "append", S.DAILY_TABLE: "overwrite",
+            S.HOURLY_TABLE: "overwrite", S.VENDOR_TABLE: "overwrite"}

@@ -27,6 +27,10 @@ TABLE_SCHEMAS = {
 }
 
 
+BAD_TIME = "unknown"
+NO_ZONE = 99  # a location id that no zone has
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,6 +38,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips: lineitem ⟕ orders ⟕ customer, ⟕ supplier, every 50th order twice.
 
+    Every gate rule has rows that fail it (NULLs in each required column, passengers,
+    distances and fares out of range), times are strings with seconds, some malformed, and
+    some location ids are in no zone, so that the lookups miss.
+
     The joins are left joins on keys; the planner sizes them (customer and supplier are
     small dimensions that Spark broadcasts under its own size threshold; orders is
     joined by shuffle on the order key when it is large).  The exact copies are made in
@@ -54,22 +62,28 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pickup_shift = ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440).cast("int")
     ride_minutes = ((F.col("l_partkey") * 13 + F.col("l_linenumber")) % 120 - 5).cast("int")
-    pickup = F.timestamp_add("MINUTE", pickup_shift, F.col("l_shipdate"))
+    minute = F.timestamp_add("MINUTE", pickup_shift, F.col("l_shipdate"))
+    pickup = F.timestamp_add("SECOND", (F.col("l_orderkey") % 60).cast("int"), minute)
+    dropoff = F.timestamp_add("SECOND", (F.col("l_partkey") % 60).cast("int"),
+                              F.timestamp_add("MINUTE", ride_minutes, minute))
     no_count = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    distance = F.col("l_quantity") * F.col("l_discount") * 4
     return joined.select(
-        (F.col("l_suppkey") % 4 + 1).cast("int").alias(S.VENDOR),
-        pickup.alias(S.PICKUP),
-        F.timestamp_add("MINUTE", ride_minutes, pickup).alias(S.DROPOFF),
+        F.when(order % 107 != 3, (F.col("l_suppkey") % 4 + 1).cast("int")).alias(S.VENDOR),
+        F.when(part % 97 == 1, F.lit(BAD_TIME)).when(part % 89 != 0, pickup.cast("string")).alias(S.PICKUP),
+        F.when(part % 79 == 2, F.lit(BAD_TIME)).when(part % 83 != 5, dropoff.cast("string")).alias(S.DROPOFF),
         F.when(no_count, F.lit(None).cast("bigint"))
         .otherwise(F.col("l_quantity").cast("bigint") % 12)
         .alias(S.PASSENGERS),
-        (F.col("l_quantity") * F.col("l_discount") * 4).alias(S.DISTANCE),
-        F.col("c_nationkey").alias(S.PU_LOCATION),
-        F.col("s_nationkey").alias(S.DO_LOCATION),
-        (F.col("l_extendedprice") / 100).alias(S.FARE),
+        F.when(part % 61 == 7, distance + 1500).when(part % 59 == 4, F.lit(-1.0))
+        .when(order % 101 != 0, distance).alias(S.DISTANCE),
+        F.when(order % 53 == 0, F.lit(NO_ZONE)).otherwise(F.col("c_nationkey")).alias(S.PU_LOCATION),
+        F.when(part % 47 == 0, F.lit(NO_ZONE)).otherwise(F.col("s_nationkey")).alias(S.DO_LOCATION),
+        F.when(order % 103 != 1, F.col("l_extendedprice") / 100).alias(S.FARE),
         (F.col("l_extendedprice") * (1 + F.col("l_tax")) / 100).alias(S.TOTAL),
         F.explode(copies).alias("_copy"),
     ).drop("_copy")
@@ -77,12 +91,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Service zone names by LocationID % 3.
 SERVICE_ZONE_NAMES = ("Yellow Zone", "Boro Zone", "Airports")
-# Nation keys at or above this are left out of the lookup, so the left joins have misses.
-ZONE_KEY_LIMIT = 24
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone lookup: nation ⋈ region, one row per nation key below 24."""
+    """Zone lookup: nation ⋈ region, one row per nation."""
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
@@ -92,8 +104,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(SERVICE_ZONE_NAMES[2]))
     )
     return (
-        nation.where(key < ZONE_KEY_LIMIT)
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             key.cast("int").alias(S.LOCATION_ID),
             F.col("r_name").alias(S.BOROUGH),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,29 +27,27 @@ def _resolve(df: DataFrame, name: str) -> str | None:
     return None
 
 
+# Conflicting footers reach Python as one or the other, depending on the Spark error class.
+READ_ERRORS = (PySparkException, Py4JJavaError)
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
-def _from_epoch_nanos(col_name: str):
-    """Epoch nanoseconds (a BIGINT) → ``timestamp_ntz``, truncated to microseconds, with
-    no time-zone conversion."""
-    micros = F.expr(f"`{col_name}` div 1000")
+def _at_micros(micros: Column) -> Column:
+    """Microseconds since the epoch → ``timestamp_ntz`` in UTC, whatever the session zone."""
     return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH_NTZ).cast(T.TimestampNTZType()))
 
 
 def conform_trips(df: DataFrame, epoch_nanos: bool = False) -> DataFrame:
-    """Check the nine raw columns and cast them to their declared types.
-
-    Names are matched case-insensitively and renamed to the canonical spelling.  Numeric
-    values that cannot be cast become NULL (and then fail the quality gate) instead of
-    failing the job.  Timestamp columns keep string values as strings: parsing belongs
-    to the cleaning step, after the gate and the duplicate check, so a bad string is
-    counted as passing the gate and dropped later, as in the original job.  A
-    ``timestamp`` (with local time zone) is turned into ``timestamp_ntz``; with
+    """Check the nine raw columns, give them their canonical names and zone-free times.
+
+    Names are matched case-insensitively.  Numeric columns keep the type they were read
+    with: the quality gate and the duplicate check judge the values as they are, and
+    ``settle_types`` casts what is left.  String timestamps stay strings (parsing belongs
+    to the cleaning step, so a bad string passes the gate and is dropped later, as in the
+    original job).  A ``timestamp`` (with local time zone) becomes its UTC wall clock; with
     ``epoch_nanos`` a BIGINT timestamp column holds epoch nanoseconds (parquet
-    ``TIMESTAMP(NANOS)`` read as long) and is converted.  Every other column passes
-    through unchanged.
+    ``TIMESTAMP(NANOS)`` read as long).  Every other column passes through unchanged.
     """
     found = {name: _resolve(df, name) for name in S.RAW_COLUMNS}
     missing = [n for n, c in found.items() if c is None]
@@ -54,61 +55,126 @@ def conform_trips(df: DataFrame, epoch_nanos: bool = False) -> DataFrame:
         raise MissingColumnsError(f"raw trips lack columns: {missing}")
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = {}
-    for name, target in S.RAW_TYPES.items():
+    for name in S.RAW_COLUMNS:
         src = found[name]
         col = F.col(f"`{src}`")
         if name in S.TIMESTAMP_COLUMNS:
-            if isinstance(types[src], T.StringType):
-                exprs[name] = col
+            if isinstance(types[src], T.TimestampType):
+                col = _at_micros(F.unix_micros(col))
             elif epoch_nanos and isinstance(types[src], T.LongType):
-                exprs[name] = _from_epoch_nanos(src)
-            else:
-                exprs[name] = col.cast(T.TimestampNTZType())
-        elif types[src] == target:
-            exprs[name] = col
-        else:
-            exprs[name] = col.try_cast(target)
+                col = _at_micros(F.expr(f"`{src}` div 1000"))
+            elif not isinstance(types[src], (T.StringType, T.TimestampNTZType)):
+                col = col.cast(T.TimestampNTZType())
+        exprs[name] = col
     # withColumns replaces a column whose name matches case-insensitively, in place and
     # under the canonical spelling.
     return df.withColumns(exprs)
 
 
-def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """A1/A3: read every raw trip parquet file under ``paths`` as one frame.
+def settle_types(df: DataFrame, on_fraction: str = "fail") -> DataFrame:
+    """Cast the numeric raw columns to their declared types, after gate and dedup.
 
-    Schemas are merged across files (``mergeSchema``): a column that a file lacks
-    reads as NULL, columns added by newer files appear.  When files disagree on the
-    type of a column, parquet schema merging refuses; then each file is read on its
-    own, conformed to the declared types and the parts are unioned by name.
-    Nanosecond parquet timestamps, which Spark does not read, are read as epoch
-    nanoseconds (``spark.sql.legacy.parquet.nanosAsLong``, a session setting this turns
-    on) and converted to ``timestamp_ntz`` microseconds.
+    A value that a cast cannot represent becomes NULL.  A fraction in a whole-number column
+    (9.5 passengers) fails the query with the column's name, or with
+    ``on_fraction="null"`` becomes NULL; it is never cut off silently.
     """
-    nanos = spark.conf.get(NANOS_AS_LONG, "false") == "true"
+    types = {f.name: f.dataType for f in df.schema.fields}
+    exprs = {}
+    for name, target in S.RAW_TYPES.items():
+        if name in S.TIMESTAMP_COLUMNS or types[name] == target:
+            continue
+        col = F.col(name)
+        cast = col.try_cast(target)
+        if isinstance(target, T.IntegralType) and not isinstance(types[name], T.IntegralType):
+            number = col.try_cast(T.DoubleType())
+            if on_fraction == "fail":
+                bad = F.raise_error(F.concat(F.lit(f"{name} has a fraction: "), col.cast("string"))).cast(target)
+            else:
+                bad = F.lit(None).cast(target)
+            cast = F.when(number != F.floor(number), bad).otherwise(number.try_cast(target))
+        exprs[name] = cast
+    return df.withColumns(exprs) if exprs else df
+
+
+# ---------------------------------------------------------------------------
+# Files of several schemas
+# ---------------------------------------------------------------------------
+@contextlib.contextmanager
+def _nanos_as_long(spark: SparkSession):
+    """Read nanosecond timestamps as BIGINT while a reader is built; the session's setting
+    is put back."""
+    before = spark.conf.get(NANOS_AS_LONG, "false")
+    spark.conf.set(NANOS_AS_LONG, "true")
     try:
-        raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    except Exception as err:
-        message = str(err)
-        if "TIMESTAMP(NANOS" in message and not nanos:
-            # Spark does not read nanosecond timestamps; its documented switch reads them
-            # as epoch-nanosecond BIGINTs (a session setting), converted in conform_trips.
-            spark.conf.set(NANOS_AS_LONG, "true")
-            return read_trips(spark, *paths)
-        if "CANNOT_MERGE" not in message:  # incompatible types across files
-            raise
-        return _read_per_file(spark, *paths, epoch_nanos=nanos)
-    return conform_trips(raw, epoch_nanos=nanos)
-
-
-def _read_per_file(spark: SparkSession, *paths: str, epoch_nanos: bool = False) -> DataFrame:
-    files = spark.read.parquet(*paths).inputFiles()
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
-    parts = [conform_trips(spark.read.parquet(*fs), epoch_nanos=epoch_nanos) for fs in groups.values()]
+        yield
+    finally:
+        spark.conf.set(NANOS_AS_LONG, before)
+
+
+def _reader(spark: SparkSession, base: str | None):
+    reader = spark.read.option("mergeSchema", "true")
+    return reader.option("basePath", base) if base else reader
+
+
+def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
+    """``files`` (in name order) as one frame for each stretch of mergeable schemas.
+
+    Footers are merged by Spark's own distributed job.  Only when they conflict is the list
+    halved and each half tried again, so the number of tries follows the number of schema
+    changes, not of files.  ``basePath`` keeps the columns of hive-style folders.
+    """
+    for nanos in (False, True):
+        try:
+            with _nanos_as_long(spark) if nanos else contextlib.nullcontext():
+                found = _reader(spark, base).parquet(*files)
+                schema = found.schema
+        except READ_ERRORS as err:
+            message = str(err)
+            if "TIMESTAMP(NANOS" in message and not nanos:
+                continue
+            if "CANNOT_MERGE" not in message or len(files) == 1:
+                raise
+            break
+        if nanos:  # the types are known now, so the scan does not need the setting
+            found = _reader(spark, base).schema(schema).parquet(*files)
+        return [conform_trips(found, epoch_nanos=nanos)]
+    half = len(files) // 2
+    return _merged(spark, files[:half], base) + _merged(spark, files[half:], base)
+
+
+def union_conformed(parts: list[DataFrame]) -> DataFrame:
+    """Union by name: a column that a part lacks reads as NULL, and a column of several
+    types takes their common type (BIGINT and DOUBLE: DOUBLE)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
+    """A1/A3: read every raw trip parquet file under ``paths`` as one frame.
+
+    Schemas are merged across files: a column that a file lacks reads as NULL, columns added
+    by newer files appear.  When files disagree on a type, each stretch of agreeing files (by
+    name) is read on its own and the parts are unioned, numeric types widened.  Nanosecond
+    parquet timestamps, which Spark does not read, are read as epoch nanoseconds and become
+    ``timestamp_ntz`` microseconds.  No session setting is left changed.
+    """
+    parts = []
+    for path in paths:
+        try:
+            parts.append(conform_trips(_reader(spark, None).parquet(path)))
+        except READ_ERRORS as err:
+            if not any(x in str(err) for x in ("CANNOT_MERGE", "TIMESTAMP(NANOS")):
+                raise
+            with _nanos_as_long(spark):
+                files = sorted(spark.read.parquet(path).inputFiles())
+            parts += _merged(spark, files, path)
+    return union_conformed(parts)
+
+
+def read_files(spark: SparkSession, files: list[str], base: str) -> DataFrame:
+    """The given parquet files, all under ``base``, as one frame (as ``read_trips``)."""
+    return union_conformed(_merged(spark, sorted(files), base))
+
+
 def raw_trip_schema() -> T.StructType:
     """The declared schema of the nine raw columns (for streaming readers and fixtures)."""
     return T.StructType([T.StructField(n, t) for n, t in S.RAW_TYPES.items()])

@@ -8,33 +8,23 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-class DuplicateZoneKeyError(ValueError):
-    """The lookup holds a LocationID twice; a left join would multiply trips."""
-
-
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """A2: read the zone lookup CSV (header line, declared column types)."""
     return spark.read.option("header", "true").schema(S.ZONE_SCHEMA).csv(path)
 
 
-def checked_lookup(zones: DataFrame, max_broadcast_rows: int = S.ZONE_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Prepare the lookup for the two left joins.
-
-    * The key must be unique, else every matching trip would be repeated (and the
-      duplicate check downstream would not remove the copies).  This is checked.
-    * The lookup is broadcast only when it has at most ``max_broadcast_rows`` rows; a
-      larger one is left to the planner (shuffled join, or converted by AQE from the
-      runtime size).
+def checked_lookup(zones: DataFrame) -> DataFrame:
+    """Prepare the lookup for the two left joins: one row a key, checked inside the plan.
 
-    Both facts come from one distributed aggregation over the lookup (row count, key
-    count, distinct key count); only that one row reaches the driver.
+    A LocationID that occurs twice would repeat every matching trip, and the duplicate
+    check downstream would not remove the copies.  The lookup is grouped by key, and a
+    value that is read from a key with several rows fails the query.  Nothing runs while
+    the plan is built.  The planner picks the join from the lookup's size in bytes.
     """
-    lookup = zones.select(S.LOCATION_ID, S.BOROUGH, S.ZONE, S.SERVICE_ZONE)
-    stats = lookup.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(S.LOCATION_ID).alias("k"),
-        F.count_distinct(S.LOCATION_ID).alias("d"),
-    ).first()
-    if stats["k"] != stats["d"]:
-        raise DuplicateZoneKeyError(f"{stats['k'] - stats['d']} duplicate LocationID rows")
-    return F.broadcast(lookup) if stats["n"] <= max_broadcast_rows else lookup
+    keyed = zones.where(F.col(S.LOCATION_ID).isNotNull()).groupBy(S.LOCATION_ID)
+    values = (S.BOROUGH, S.ZONE, S.SERVICE_ZONE)
+    message = F.concat(F.lit("duplicate LocationID in the zone lookup: "), F.col(S.LOCATION_ID).cast("string"))
+    return keyed.agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in values]).select(
+        S.LOCATION_ID,
+        *[F.when(F.col("_rows") == 1, F.col(c)).otherwise(F.raise_error(message).cast("string")).alias(c) for c in values],
+    )

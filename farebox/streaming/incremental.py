@@ -1,47 +1,46 @@
 """Incremental file loading (A4) with Structured Streaming.
 
-Each call is one ``trigger(availableNow=True)`` run of a file-source stream: it takes
-only the files not seen by earlier runs (the checkpoint records them) and records them
-only when the run's batches commit, so a failed run is retried with the same files.
+Each call is one ``trigger(availableNow=True)`` run of a stream of *file names* (a binary
+file source of which only the path is read): it takes only the files not seen by earlier
+runs (the checkpoint records them) and records them only when the run's batches commit, so
+a failed run is retried with the same files.
 
 Per micro-batch (``foreachBatch``):
 
-1. the batch goes through gate → dedup → lookups → derived columns (dedup scope is the
-   batch, as in the original per-run job);
-2. its trips are written to the trips table under partitions
-   ``(pickup_year, pickup_month, ingest_batch)`` with dynamic overwrite - a replayed
-   batch rewrites exactly its own partitions, so replay changes nothing;
-3. the hourly x vendor pre-aggregate (``trip_moments``: counts, sums, mean and M2) is
-   recomputed for the months the batch touched only (read with dynamic partition
-   pruning through a semi join on those months) and overwrites just those partitions;
-4. the daily and hourly rollups of the touched months, and the vendor table, are
-   rebuilt from the pre-aggregate - a few rows per calendar hour and vendor - so no
-   batch rescans the trip history.
+1. the new files are read by the same schema resolution as the batch job (``sources.trips``),
+   so a file whose types changed joins the others instead of stopping the load;
+2. the gate report of the batch is stored;
+3. the batch goes through gate → dedup → lookups → derived columns (dedup scope is the
+   batch, as in the original per-run job), and its trips are written under
+   ``(pickup_year, pickup_month, ingest_batch)`` with dynamic overwrite - a replayed batch
+   rewrites exactly its own partitions, so replay changes nothing;
+4. the batch's own trips give its hourly x vendor pre-aggregate (``trip_moments``), stored
+   under the same three keys.  Moments merge, so no trip of an earlier batch is read again;
+5. the daily and hourly rollups of the months the batch touched, and the vendor table, are
+   merged from the stored moments - a few rows per calendar hour, vendor and batch.  The
+   vendor table is written as a new version beside the old ones, so a reader always finds a
+   whole one (``TripStore.read_vendors``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
-from ..operators.quality import apply_gate
-from ..operators.rollups import (
-    daily_from_moments,
-    hourly_from_moments,
-    trip_moments,
-    vendors_from_moments,
-)
-from ..plans.pipeline import clean_and_derive
-from ..sources.sinks import write_partitioned, write_table
-from ..sources.trips import conform_trips
+from ..operators.quality import apply_gate, gate_report
+from ..operators.rollups import daily_from_moments, hourly_from_moments, trip_moments, vendors_from_moments
+from ..plans.pipeline import MOMENTS_TABLE, clean_and_derive
+from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
+from ..sources.trips import read_files
 from ..sources.zones import checked_lookup
 
 BATCH = "ingest_batch"
+BATCH_KEYS = (*S.PARTITION_KEYS, BATCH)
+FILES = "path string, modificationTime timestamp, length long, content binary"
+FILES_PER_BATCH = 1000  # names that one batch sends to the driver
 
 
 @dataclass
@@ -68,45 +67,51 @@ class TripStore:
 
     @property
     def moments(self) -> str:
-        return f"{self.root}/trip_moments"
+        return f"{self.root}/{MOMENTS_TABLE}"
+
+    @property
+    def report(self) -> str:
+        return f"{self.root}/{S.REPORT_TABLE}"
 
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
 
-
-def touched_months(stored: DataFrame, batch_id: int) -> DataFrame:
-    """Stored trips of every month that batch ``batch_id`` wrote into.
-
-    The months come from the batch's own partitions; the semi join on the partition
-    columns is planned with dynamic partition pruning, so only those month directories
-    are read.  The month list holds at most one row per calendar month: a bounded
-    broadcast.
-    """
-    months = stored.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
-    return stored.join(F.broadcast(months), list(S.PARTITION_KEYS), "left_semi")
+    def read_vendors(self, spark: SparkSession) -> DataFrame:
+        """The newest version of the vendor table."""
+        versions = spark.read.parquet(self.vendors)
+        newest = versions.agg(F.max(BATCH)).first()[0]
+        return versions.where(F.col(BATCH) == newest).drop(BATCH)
 
 
-def batch_processor(spark: SparkSession, store: TripStore, lookup: DataFrame | None):
-    """The ``foreachBatch`` function of the incremental load (steps 1-4 above)."""
+def touched_months(moments: DataFrame, batch_id: int) -> DataFrame:
+    """Stored moments of every month that batch ``batch_id`` wrote into.
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        trips = clean_and_derive(apply_gate(conform_trips(batch)), lookup, zones_checked=True)
-        trips = trips.withColumn(BATCH, F.lit(batch_id))
-        write_partitioned(trips, store.trips, partition_by=(*S.PARTITION_KEYS, BATCH))
-        # Read with the known schema: a store whose batches all failed the gate has no
-        # data files yet, and reads as empty instead of failing schema inference.
-        stored = spark.read.schema(trips.schema).parquet(store.trips)
-        # Complete months: every stored trip of each touched month, from all batches.
-        fresh = trip_moments(touched_months(stored, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
-        write_table(fresh, store.moments, partition_by=S.PARTITION_KEYS)
-        write_table(daily_from_moments(fresh), store.daily, partition_by=S.PARTITION_KEYS)
-        write_table(hourly_from_moments(fresh), store.hourly, partition_by=S.PARTITION_KEYS)
-        moments = spark.read.schema(fresh.schema).parquet(store.moments)
-        fresh.unpersist()
-        write_table(vendors_from_moments(moments), store.vendors)
-
-    return process
+    The months come from the batch's own partitions; the semi join on the partition columns
+    is planned with dynamic partition pruning, so only those month directories are read.
+    """
+    months = moments.where(F.col(BATCH) == batch_id).select(*S.PARTITION_KEYS).distinct()
+    return moments.join(months, list(S.PARTITION_KEYS), "left_semi")
+
+
+def load_batch(spark: SparkSession, store: TripStore, lookup: DataFrame | None, raw: DataFrame, batch_id: int,
+               on_fraction: str = "fail") -> DataFrame:
+    """Steps 2-5 for the rows ``raw`` of one batch; returns the batch's stored trips."""
+    write_table(gate_report(raw).withColumn(BATCH, F.lit(batch_id)), store.report, partition_by=(BATCH,))
+    trips = clean_and_derive(apply_gate(raw), lookup, zones_checked=True, on_fraction=on_fraction)
+    trips = trips.withColumn(BATCH, F.lit(batch_id))
+    write_partitioned(trips, store.trips, partition_by=BATCH_KEYS)
+    # Read with known schemas: a store whose batches all failed the gate has no data files
+    # yet, and reads as empty instead of failing schema inference.
+    own = spark.read.schema(trips.schema).parquet(store.trips).where(F.col(BATCH) == batch_id)
+    fresh = trip_moments(own).withColumn(BATCH, F.lit(batch_id))
+    write_table(fresh, store.moments, partition_by=BATCH_KEYS)
+    moments = spark.read.schema(fresh.schema).parquet(store.moments)
+    touched = touched_months(moments, batch_id)
+    write_table(daily_from_moments(touched), store.daily, partition_by=S.PARTITION_KEYS)
+    write_table(hourly_from_moments(touched), store.hourly, partition_by=S.PARTITION_KEYS)
+    write_table(vendors_from_moments(moments).withColumn(BATCH, F.lit(batch_id)), store.vendors, partition_by=(BATCH,))
+    return own
 
 
 def incremental_load(
@@ -114,21 +119,38 @@ def incremental_load(
     landing_dir: str,
     zones: DataFrame | None,
     store_root: str,
-    schema: T.StructType | None = None,
+    jdbc_url: str | None = None,
+    jdbc_properties: dict[str, str] | None = None,
+    jdbc_connections: int = JDBC_CONNECTIONS,
+    on_fraction: str = "fail",
 ) -> TripStore:
     """Run one availableNow pass over ``landing_dir`` and update the store.
 
-    ``schema`` defaults to the merged schema of the files present now (a file stream
-    needs a fixed schema).  Returns the store; read its tables with ``spark.read``.
+    With ``jdbc_url`` each batch is also published: its trips are appended, the rollups
+    replace what is there (``sinks.publication``).  Returns the store; read its tables with
+    ``spark.read`` (and ``read_vendors``).
     """
     store = TripStore(store_root.rstrip("/"))
-    if schema is None:
-        schema = spark.read.option("mergeSchema", "true").parquet(landing_dir).schema
     lookup = checked_lookup(zones) if zones is not None else None
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r["path"] for r in batch.select("path").collect())  # FILES_PER_BATCH at most
+        if not files:
+            return
+        own = load_batch(spark, store, lookup, read_files(spark, files, landing_dir), batch_id, on_fraction)
+        if jdbc_url:
+            modes = publication(full_run=False)
+            tables = {S.TRIPS_TABLE: own.drop(BATCH), S.DAILY_TABLE: spark.read.parquet(store.daily),
+                      S.HOURLY_TABLE: spark.read.parquet(store.hourly), S.VENDOR_TABLE: store.read_vendors(spark)}
+            for name, df in tables.items():
+                write_jdbc(df, jdbc_url, name, jdbc_properties, modes[name], jdbc_connections)
+
     query = (
-        spark.readStream.schema(schema)
-        .parquet(landing_dir)
-        .writeStream.foreachBatch(batch_processor(spark, store, lookup))
+        spark.readStream.format("binaryFile").schema(FILES)
+        .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", str(FILES_PER_BATCH))
+        .load(landing_dir).select("path")
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", store.checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -8,6 +8,7 @@ import pytest
 
 from farebox import schema as S
 from farebox.operators import anomaly, benchmark
+from farebox.operators.rollups import trip_moments
 from farebox.plans.pipeline import enriched_trips
 from tests.conftest import daily_row, make_daily, make_trips, plan_text, trip
 
@@ -102,7 +103,7 @@ def _group_trips(hours_fares):
 def test_group_far_below_the_rest_is_low_fare_opportunity(spark, zones):
     spec = [(h, 20.0, 2) for h in range(7, 14)] + [(3, 1.0, 2)]
     out = {r[S.HOUR]: r for r in benchmark.time_based_fare_efficiency(
-        enriched_trips(make_trips(spark, _group_trips(spec)), zones)).collect()}
+        trip_moments(enriched_trips(make_trips(spark, _group_trips(spec)), zones))).collect()}
     assert out[3]["pricing_opportunity_type"] == S.LOW_OPPORTUNITY
     assert out[3]["fare_deviation_percent"] > 0  # (benchmark - x) / benchmark
     assert all(out[h]["pricing_opportunity_type"] == S.NORMAL for h in range(7, 14))

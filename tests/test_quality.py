@@ -11,7 +11,7 @@ from farebox.operators.quality import (
     apply_gate,
     dq_rule_report,
     dq_summary,
-    gate_with_metrics,
+    gate_report,
     quality_rules,
 )
 from tests.conftest import RAW_SCHEMA, make_trips, plan_text, trip
@@ -71,11 +71,13 @@ def test_summary_and_report_add_up(spark):
         assert r["passed_rows"] + r["failed_rows"] == r["total_rows"] == 4
 
 
-def test_observation_counts_during_the_write(spark):
-    df = make_trips(spark, [trip(), trip(passenger_count=0), trip()])
-    gated, obs = gate_with_metrics(df)
-    assert gated.count() == 2
-    assert obs.get == {"total_rows": 3, "passed_rows": 2}
+def test_gate_report_is_one_row(spark):
+    df = make_trips(spark, [trip(), trip(passenger_count=0), trip(fare_amount=None)])
+    row = gate_report(df).first()
+    assert (row["total_rows"], row["passed_rows"], row["failed_rows"]) == (3, 1, 2)
+    failed = {r["rule"]: r["failed_rows"] for r in row["rules"]}
+    assert {k: v for k, v in failed.items() if v} == {
+        "complete_fare_amount": 1, "range_passenger_count": 1, "range_fare_amount": 1}
 
 
 def test_gate_fails_closed_or_passes_through(spark):

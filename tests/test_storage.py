@@ -12,7 +12,7 @@ from farebox import schema as S
 from farebox.operators.months import missing_months
 from farebox.plans.pipeline import enriched_trips
 from farebox.sources.sinks import jdbc_writer, write_partitioned
-from farebox.sources.trips import MissingColumnsError, read_trips
+from farebox.sources.trips import MissingColumnsError, read_trips, settle_types
 from farebox.sources.zones import read_zones
 from tests.conftest import RAW_SCHEMA, ZONE_ROWS, make_trips, plan_text, trip
 
@@ -25,14 +25,58 @@ def test_file_with_extra_column_is_merged(spark, tmp_path):
     assert out == {1: None, 2: 1.75}
 
 
-def test_files_with_conflicting_types_are_read_per_file(spark, tmp_path):
+def test_files_with_conflicting_types_keep_values_and_folders(spark, zones, tmp_path):
     path = str(tmp_path / "raw")
-    make_trips(spark, [trip()]).write.parquet(path)
-    as_double = make_trips(spark, [trip(VendorID=2)]).withColumn(S.PASSENGERS, F.col(S.PASSENGERS).cast("double"))
-    as_double.write.mode("append").parquet(path)
+    make_trips(spark, [trip()]).write.parquet(f"{path}/src=a")
+    as_double = make_trips(spark, [trip(VendorID=2), trip(VendorID=3)]).withColumn(
+        S.PASSENGERS, F.when(F.col(S.VENDOR) == 2, 9.5).otherwise(8.0))
+    as_double.write.parquet(f"{path}/src=b")
     out = read_trips(spark, path)
-    assert dict(out.dtypes)[S.PASSENGERS] == "bigint"
-    assert sorted(r[S.VENDOR] for r in out.collect()) == [1, 2]
+    assert dict(out.dtypes)[S.PASSENGERS] == "double"
+    assert sorted((r[S.VENDOR], r[S.PASSENGERS], r["src"]) for r in out.collect()) == [
+        (1, 1.0, "a"), (2, 9.5, "b"), (3, 8.0, "b")]
+    trips = enriched_trips(out, zones)  # 9.5 passengers fail the gate; what is left is settled
+    assert sorted((r[S.VENDOR], r[S.PASSENGERS]) for r in trips.collect()) == [(1, 1), (3, 8)]
+    assert dict(trips.dtypes)[S.PASSENGERS] == "bigint"
+
+
+def test_a_fraction_is_not_cut_off(spark, zones):
+    rows = make_trips(spark, [trip(), trip(VendorID=2)]).withColumn(
+        S.PASSENGERS, F.when(F.col(S.VENDOR) == 2, 8.5).otherwise(1.0))
+    with pytest.raises(Exception, match="passenger_count has a fraction"):
+        enriched_trips(rows, zones).collect()
+    nulled = enriched_trips(rows, zones, on_fraction="null")
+    assert sorted((r[S.VENDOR], r[S.PASSENGERS]) for r in nulled.collect()) == [(1, 1), (2, None)]
+
+
+def test_zoned_timestamps_are_read_in_utc(spark):
+    from farebox.sources.trips import conform_trips
+
+    zoned = make_trips(spark, [trip()]).withColumn(S.PICKUP, F.timestamp_seconds(F.lit(1704151800)))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert conform_trips(zoned).first()[S.PICKUP] == datetime(2024, 1, 1, 23, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_publication_replaces_rollups(spark):
+    from farebox.sources.sinks import publication
+
+    assert set(publication(full_run=True).values()) == {"overwrite"}
+    modes = publication(full_run=False)
+    assert modes.pop(S.TRIPS_TABLE) == "append" and set(modes.values()) == {"overwrite"}
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from farebox.session import shared_root
+
+    settings = {"spark.master": "spark://host:7077"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: settings.get(k, d)))
+    with pytest.raises(RuntimeError):
+        shared_root(session)
 
 
 def test_names_match_case_insensitively_and_types_are_declared(spark, tmp_path):
@@ -41,7 +85,8 @@ def test_names_match_case_insensitively_and_types_are_declared(spark, tmp_path):
         S.VENDOR.lower(), F.col("vendorid").cast("bigint"))
     df.write.parquet(path)
     out = read_trips(spark, path)
-    assert S.VENDOR in out.columns and dict(out.dtypes)[S.VENDOR] == "int"
+    assert S.VENDOR in out.columns and dict(out.dtypes)[S.VENDOR] == "bigint"
+    assert dict(settle_types(out).dtypes)[S.VENDOR] == "int"
 
 
 def test_missing_required_column_is_reported(spark, tmp_path):
@@ -120,9 +165,9 @@ def test_nanosecond_timestamps_are_read(spark, tmp_path):
         assert dict(out.dtypes)[S.PICKUP] == "timestamp_ntz"
         assert got[S.PICKUP] == datetime(2024, 1, 1, 8, 0, 0, 123456)
         assert got[S.DROPOFF] == datetime(2024, 1, 1, 8, 20)
+        assert spark.conf.get(NANOS_AS_LONG, "false") == before
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        spark.conf.set(NANOS_AS_LONG, before)
 
 
 def test_layout_splits_a_hot_pickup_instant_across_tasks(spark, zones):

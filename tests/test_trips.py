@@ -12,7 +12,7 @@ from farebox.operators.clean import dedup_trips, parse_timestamps, temporal_filt
 from farebox.operators.enrich import ZONE_COLUMNS, enrich_zones
 from farebox.operators.features import add_trip_features
 from farebox.plans.pipeline import enriched_trips
-from farebox.sources.zones import DuplicateZoneKeyError, checked_lookup
+from farebox.sources.zones import checked_lookup
 from tests.conftest import BASE_TIME, RAW_SCHEMA, ZONE_ROWS, make_trips, plan_text, trip
 
 
@@ -79,21 +79,19 @@ def test_without_zones_the_columns_are_null(spark):
     assert dict(out.dtypes)[S.PICKUP_BOROUGH] == "string"
 
 
-def test_duplicate_zone_key_is_rejected(spark):
+def test_duplicate_zone_key_fails_the_query_not_the_plan(spark):
     dup = spark.createDataFrame(ZONE_ROWS + [(1, "Elsewhere", "X", "Y")], S.ZONE_SCHEMA)
-    with pytest.raises(DuplicateZoneKeyError):
-        checked_lookup(dup)
-    with pytest.raises(DuplicateZoneKeyError):
-        checked_lookup(dup, max_broadcast_rows=3)  # the distributed check path
+    out = enrich_zones(make_trips(spark, [trip(PULocationID=1)]), checked_lookup(dup), checked=True)
+    with pytest.raises(Exception, match="duplicate LocationID in the zone lookup: 1"):
+        out.collect()
 
 
-def test_small_lookup_is_broadcast_large_one_is_not(spark, zones):
+def test_the_planner_picks_the_join_by_size(spark, zones):
     trips = make_trips(spark, [trip()])
-    small = plan_text(enrich_zones(trips, checked_lookup(zones), checked=True), "simple")
-    assert "BroadcastHashJoin" in small
+    assert "hint" not in plan_text(enrich_zones(trips, checked_lookup(zones), checked=True), "extended").lower()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan_text(enrich_zones(trips, checked_lookup(zones, max_broadcast_rows=3), checked=True), "simple")
+        big = plan_text(enrich_zones(trips, checked_lookup(zones), checked=True), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
@@ -122,7 +120,9 @@ def test_dedup_runs_before_the_lookups_with_partial_aggregation(spark, zones, tm
     plan = plan_text(enriched_trips(spark.read.parquet(path), zones), "simple")
     # map-side partial aggregate below the shuffle, final aggregate above it
     assert plan.count("HashAggregate") >= 2
-    assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate")
+    dedup = [i for i, line in enumerate(plan.splitlines()) if "HashAggregate" in line and "trip_distance" in line]
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join" in line]
+    assert len(dedup) >= 2 and max(joins) < min(dedup)  # children are printed below
 
 
 def test_stage_functions_compose(spark, zones):
