@@ -23,7 +23,7 @@ KEYS = {
     "daily_trip_stats (D1)": lambda s, d: Q.daily(s, d),
     "performance_anomalies (E13)": lambda s, d: anomaly.performance_anomalies(Q.daily(s, d)),
     "vendor_comparison (E10)": lambda s, d: views.vendor_comparison(Q.daily(s, d)),
-    "time_based_fare_efficiency (E14)": lambda s, d: benchmark.time_based_fare_efficiency(Q.trips(s, d)),
+    "time_based_fare_efficiency (E14)": lambda s, d: benchmark.time_based_fare_efficiency(Q.moments(s, d)),
     "clustered_layout (A9)": lambda s, d: clustered_layout(Q.trips(s, d)),
 }
 
