@@ -9,29 +9,31 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-# Parts of a (month, part of month) in the layout.  A pickup instant that a third of all
-# trips share is spread over this many tasks.
-LAYOUT_SALTS = 16
-DAYS_PER_SLICE = 8
+# Shuffle partitions for each part of a month: months are some dozens, so a table is spread
+# over all partitions while a month has few files.
+PARTITIONS_PER_SALT = 32
 
 
 def clustered_layout(
     trips: DataFrame,
     num_partitions: int | None = None,
     partition_by: tuple[str, ...] = S.PARTITION_KEYS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Lay trips out for fast access by pickup time and by (vendor, pickup time).
 
-    Trips are hash-partitioned on year, month, slice of the month and a salt (a hash of the
-    row modulo ``LAYOUT_SALTS``), so each write task holds narrow stretches of time and a
-    month has at most slices x salts files, a hot instant is split, and no sampling pass
-    runs.  Inside a task, rows are sorted by the write partition keys (so the writer needs
-    no extra sort), then vendor and pickup time; parquet min/max statistics then prune row
-    groups for both access paths.
+    Trips are hash-partitioned on year, month and a salt (a hash of the row modulo
+    ``salts``), so a month lies in at most ``salts`` files, a month or an instant that holds
+    a large share of all trips is split, and no sampling pass runs.  ``salts`` defaults to
+    one for each ``PARTITIONS_PER_SALT`` shuffle partitions, so it grows with the cluster
+    and the data the partitions are sized for.  Inside a task, rows are sorted by the write
+    partition keys (so the writer needs no extra sort), then vendor and pickup time; parquet
+    min/max statistics then prune row groups for both access paths.
     """
-    pickup_slice = F.floor((F.col(S.DAY) - 1) / DAYS_PER_SLICE)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(LAYOUT_SALTS))
-    keys = [F.col(S.YEAR), F.col(S.MONTH), pickup_slice, salt]
+    partitions = num_partitions or int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = salts or -(-partitions // PARTITIONS_PER_SALT)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(parts))
+    keys = [F.col(S.YEAR), F.col(S.MONTH), salt]
     dealt = trips.repartition(num_partitions, *keys) if num_partitions else trips.repartition(*keys)
     return dealt.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
 

@@ -178,7 +178,7 @@ def test_layout_splits_a_hot_pickup_instant_across_tasks(spark, zones):
                  fare_amount=5.0 + i / 100) for i in range(400)]  # 400 distinct trips, one instant
     rows += [trip(tpep_pickup_datetime=datetime(2024, m, 5, 9),
                   tpep_dropoff_datetime=datetime(2024, m, 5, 9, 30)) for m in (1, 3, 4)]
-    laid = clustered_layout(enriched_trips(make_trips(spark, rows), zones), num_partitions=4)
+    laid = clustered_layout(enriched_trips(make_trips(spark, rows), zones), num_partitions=4, salts=8)
     sizes = [r["n"] for r in laid.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(sizes) == 403
     assert max(sizes) < 300  # the hot instant is not confined to one task
