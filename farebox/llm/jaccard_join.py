@@ -12,8 +12,9 @@ frequency (rarest first), the others by independent hashes.
    prefix tokens of every order and its shared tokens.
 2. Documents of equal sets form one class; only classes are joined.
 3. Star round: in each order-0 token group, every class is paired with the group's most
-   central one (fewest tokens of its own).  Candidates must also share a prefix token under
-   each other order; what is left is verified on the sets.  Links make components.
+   central one (fewest tokens of its own) if sizes and the token's places in both orders
+   allow a link.  Candidates must also share a prefix token under each other order; what is
+   left is verified on the sets.  Links make components.
 4. Cross round: pairs of one token group whose components still differ go through the same
    filters, so no link between different components is missed, while groups that the stars
    joined make no pairs.
@@ -88,21 +89,28 @@ def describe(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
                        f"doc_id {id_type}, text_hash long, size long, sig binary, live long, {prefixes}, tokens array<long>")
 
 
+def _postings(members: DataFrame) -> DataFrame:
+    """One row for each order-0 prefix token of a class; ``rest``: how many of its tokens
+    stand from this one on in that order."""
+    return members.select("sig", "size", "live", F.posexplode("prefix0").alias("pos", "token")).select(
+        "sig", "size", "live", "token", (F.col("live") - F.col("pos")).alias("rest"))
+
+
 def _can_link(a: str, b: str, percent: int) -> Column:
-    """Sizes and live counts allow ``percent``: the overlap needed is a share of both sizes,
-    and only live tokens can overlap."""
+    """Sizes and places allow ``percent``.  The row of a pair's first common token passes if
+    the pair links: nothing before that token is common, so the overlap is at most the lesser
+    ``rest``, and the overlap needed is a share of both sizes."""
     both = F.col(f"{a}.size") + F.col(f"{b}.size")
-    live = F.least(F.col(f"{a}.live"), F.col(f"{b}.live"))
-    return (100 + percent) * live >= percent * both
+    return (100 + percent) * F.least(F.col(f"{a}.rest"), F.col(f"{b}.rest")) >= percent * both
 
 
 def star_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of each class with the centres of its order-0 token groups."""
-    postings = members.select("sig", "size", "live", F.explode("prefix0").alias("token"))
+    postings = _postings(members)
     own_share = F.floor((F.col("size") - F.col("live")) * 10_000 / F.col("size"))
     centres = postings.groupBy("token").agg(
-        F.min(F.struct(own_share.alias("own"), "sig", "size", "live")).alias("c")
-    ).select("token", "c.sig", "c.size", "c.live")
+        F.min(F.struct(own_share.alias("own"), "sig", "size", "rest")).alias("c")
+    ).select("token", "c.sig", "c.size", "c.rest")
     return postings.alias("x").join(centres.alias("y"), "token").where(
         (F.col("x.sig") != F.col("y.sig")) & _can_link("x", "y", percent)
     ).select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
@@ -110,9 +118,9 @@ def star_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of one order-0 token group whose components differ."""
-    postings = members.select("sig", "size", "live", F.explode("prefix0").alias("token"))
+    postings = _postings(members)
     labelled = postings.join(labels, postings["sig"] == labels["node"], "left").select(
-        "sig", "size", "live", "token", F.coalesce("label", "sig").alias("label"))
+        "sig", "size", "rest", "token", F.coalesce("label", "sig").alias("label"))
     mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
     rows = labelled.join(mixed, "token")
     return rows.alias("x").join(rows.alias("y"), "token").where(
