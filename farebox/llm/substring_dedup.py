@@ -37,7 +37,7 @@ from .shingles import grams, hash_words, sliding_min
 
 WINDOW = 35
 GRAM = 8
-HOT = 1000  # super-k-mers of one minimiser that one task may gather
+HOT = 20_000  # super-k-mers of one minimiser that one task may gather: some 6 MB of text
 LONGEST = 128  # windows of one super-k-mer; longer stretches are cut, their overlap kept
 _SPACED = re.compile(rb"[^\x20\x09-\x0d]+[\x20\x09-\x0d]*")
 
