@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import key_and_text, rows_of
+from .word_codec import byte_symbols
 
 # Fixed value: the split before byte-level merges (public_tokenizers.PATTERN with white
 # space as the Unicode property, which is what the library means by \s).
@@ -29,14 +30,6 @@ PRE_TOKENS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{
 REMEMBERED = 1_000_000
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1
-    characters stand for themselves, the others take the code points from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shifted = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
-
-
 class MergeCounter:
     """Counts the tokens of texts for one byte-level BPE file."""
 

@@ -1,52 +1,80 @@
 """Token ids of white-space delimited words, by the tokenizers library, remembered per worker.
 
 The word-level tokenizer drops white space and never merges across it, so the ids of a text
-are the ids of its words ``[^\\x20\\x09-\\x0D]+`` one after another.  A word of ASCII
-characters without an apostrophe or ``<`` falls apart into runs of letters, single digits
-and runs of other characters; these go to the library's merge model directly.  Every other
-word (contractions, special tokens, other scripts) goes through the whole library.
+are the ids of its words ``[^\\x20\\x09-\\x0D]+`` one after another.  A word of printable
+Latin-1 characters without an apostrophe or ``<`` falls apart, in lower case, into runs of
+letters, single digits and runs of other characters; each part is its UTF-8 bytes in the
+vocabulary's byte characters and goes to the library's merge model.  Every other word
+(contractions, special tokens, other scripts) goes through the whole library.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+import struct
+from collections.abc import Callable
 
-import numpy as np
 from tokenizers import Tokenizer
 
-# Words remembered per Python worker; a fuller table is emptied.  About 200 bytes each.
-REMEMBERED = 600_000
+# Words, and parts of words, remembered per Python worker; a fuller table is emptied.  An
+# entry takes about 200 bytes.
+REMEMBERED = 500_000
 
-_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable Latin-1 without ' and <, and without what Unicode counts as white space or as
+# numbers beyond 0-9 there.
+_PLAIN = re.compile("[!-&(-;=-~¡-±´-¸º»¿-ÿ]+")
+# Its lower-case letters; single digits; the rest.
+_PARTS = re.compile("[a-zªµºß-öø-ÿ]+|[0-9]|[^a-z0-9ªµºß-öø-ÿ]+")
+
+
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1
+    characters stand for themselves, the others take the code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shifted = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
+
+
+class Remembered(dict):
+    """A table that works out missing entries and is emptied when it holds ``most``."""
+
+    def __init__(self, work_out: Callable, most: int):
+        super().__init__()
+        self.work_out, self.most = work_out, most
+
+    def __missing__(self, key):
+        value = self.work_out(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
 
 
 class WordCodec:
-    """Words (UTF-8 bytes) to ids and ids to pieces for one tokenizer file."""
+    """``ids[word]``: the ids of a word (UTF-8 bytes) as little-endian uint32."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.remembered = remembered
-        self.known: dict[bytes, bytes] = {}
-
-    def _ids(self, word: bytes) -> list[int]:
-        if word.isascii() and b"'" not in word and b"<" not in word:
-            tokenize = self.model.tokenize
-            return [t.id for part in _PARTS.findall(word.decode().lower()) for t in tokenize(part)]
-        return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-
-    def packed(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """A table that holds, for every one of ``words``, its ids as little-endian uint32."""
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > self.remembered:
-            known = self.known = {}
-            new = list(words)
-        for w in new:
-            known[w] = np.array(self._ids(w), "<u4").tobytes()
-        return known
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.ids = Remembered(self._word, remembered)
+        self.parts = Remembered(self._part, remembered)
+
+    def _part(self, part: str) -> bytes:
+        text = part if part.isascii() else part.encode().decode("latin-1").translate(self.symbols)
+        return _packed([t.id for t in self.model.tokenize(text)])
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if _PLAIN.fullmatch(text):
+            parts = self.parts
+            return b"".join([parts[p] for p in _PARTS.findall(text.lower())])
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _codecs: dict[str, WordCodec] = {}
