@@ -56,13 +56,13 @@ def _by_bucket(addresses: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(bucket[a]), slice(a, b)
 
 
-def _packed(numbers: np.ndarray) -> bytes:
+def packed(numbers: np.ndarray) -> bytes:
     """Byte planes of little-endian numbers, compressed."""
     planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpacked(blob: bytes, kind: str) -> np.ndarray:
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(data.reshape(size, -1).T).view(kind).ravel()
@@ -76,8 +76,8 @@ def _ask(keys_of: KeysOf, buckets: int):
         rows = []
         for bucket, own in _by_bucket(distinct):
             prints = (distinct[own] & np.uint64(0xFFFFFFFF)).astype("<u4")
-            rows.append((bucket, _packed(np.diff(prints, prepend=np.uint32(0))),
-                         _packed(np.minimum(counts[own], MOST).astype("<u2"))))
+            rows.append((bucket, packed(np.diff(prints, prepend=np.uint32(0))),
+                         packed(np.minimum(counts[own], MOST).astype("<u2"))))
         ids, prints, counts = zip(*rows) if rows else ((), (), ())
         return pa.table({"block": pa.array([number] * len(rows), pa.int64()), "bucket": pa.array(ids, pa.int32()),
                          "prints": pa.array(prints, pa.binary()), "counts": pa.array(counts, pa.binary())})
@@ -86,13 +86,13 @@ def _ask(keys_of: KeysOf, buckets: int):
 
 
 def _answer(requests: pa.Table) -> pa.Table:
-    prints = [np.cumsum(_unpacked(p, "<u4"), dtype=np.uint32) for p in requests.column("prints").to_pylist()]
-    counts = [_unpacked(c, "<u2") for c in requests.column("counts").to_pylist()]
+    prints = [np.cumsum(unpacked(p, "<u4"), dtype=np.uint32) for p in requests.column("prints").to_pylist()]
+    counts = [unpacked(c, "<u2") for c in requests.column("counts").to_pylist()]
     _, at = np.unique(np.concatenate(prints), return_inverse=True)
     totals = np.minimum(np.bincount(at, np.concatenate(counts)), MOST).astype("<u2")[at]
     ends = np.cumsum([len(p) for p in prints])
     return pa.table({"block": requests.column("block"), "bucket": requests.column("bucket"),
-                     "totals": pa.array([_packed(np.ascontiguousarray(totals[e - len(p):e])) for p, e in zip(prints, ends)], pa.binary())})
+                     "totals": pa.array([packed(np.ascontiguousarray(totals[e - len(p):e])) for p, e in zip(prints, ends)], pa.binary())})
 
 
 def totals_of(keys: np.ndarray, buckets: int, answers: pa.Table) -> np.ndarray:
@@ -101,7 +101,7 @@ def totals_of(keys: np.ndarray, buckets: int, answers: pa.Table) -> np.ndarray:
     distinct, at = np.unique(_addresses(keys, buckets), return_inverse=True)
     totals = np.zeros(len(distinct), np.int64)
     for bucket, own in _by_bucket(distinct):
-        totals[own] = _unpacked(got[bucket], "<u2")
+        totals[own] = unpacked(got[bucket], "<u2")
     return totals[at]
 
 

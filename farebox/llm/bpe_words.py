@@ -27,10 +27,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .block_counts import packed, unpacked
 from .common import key_and_text, utf8_texts
 from .word_codec import codec, vocabulary
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20  # text bytes a word bucket stands for
 
 REQUEST = "block long, bucket int, words binary"
@@ -70,19 +71,17 @@ def answer(path: str):
     """A bucket's answers: each distinct word is encoded once for all requests."""
 
     def run(key: tuple[pa.Scalar, ...], requests: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
-        words_of = codec(path)
+        unpack = zstandard.ZstdDecompressor().decompress
+        ids_of = codec(path).ids
         encoded: dict[bytes, bytes] = {}
         for batch in requests:
             counts, ids = [], []
             for blob in batch.column("words").to_pylist():
                 words = unpack(blob).split()
-                if new := [w for w in words if w not in encoded]:
-                    known = words_of.packed(new)
-                    encoded.update((w, known[w]) for w in new)
+                encoded.update((w, ids_of[w]) for w in words if w not in encoded)
                 found = [encoded[w] for w in words]
-                counts.append(pack(np.array([len(f) // 4 for f in found], "<u4").tobytes()))
-                ids.append(pack(b"".join(found)))
+                counts.append(packed(np.array([len(f) // 4 for f in found], "<u4")))
+                ids.append(packed(np.frombuffer(b"".join(found), "<u4")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("bucket"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
                 ["block", "bucket", "counts", "ids"])
@@ -97,9 +96,8 @@ def rebuild(path: str, buckets: int, id_type: pa.DataType | None = None):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not pieces:
             pieces.update((i, p.encode()) for i, p in vocabulary(path))
-        unpack = zstandard.ZstdDecompressor().decompress
         texts = utf8_texts(block.column("text").combine_chunks())
-        got = {b: (np.frombuffer(unpack(c), "<u4"), np.frombuffer(unpack(i), "<u4").tolist()) for b, c, i in zip(
+        got = {b: (unpacked(c, "<u4"), unpacked(i, "<u4").tolist()) for b, c, i in zip(
             *(answers.column(x).to_pylist() for x in ("bucket", "counts", "ids")))}
         table: dict[bytes, tuple[int, bytes, bytes]] = {}
         for bucket, words in words_by_bucket(texts, buckets):
