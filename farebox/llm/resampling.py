@@ -12,8 +12,10 @@ whether the word repeats the one before), hashed to ``BUCKETS`` buckets.
 Labels come from a bounded sample of labelled rows (``max_labelled``, least hash of the id
 first), small enough to send to every task by construction.  Half of it, by hash, gives the
 target; the other half, which the target has not seen, gives ``k``: the number of documents
-whose log weight is on the good side of the cut that separates that half's good and bad rows
-best.  The raw counts, the weights and the choice cover all documents.
+whose log weight is on the good side of the cut that separates that half's good and bad
+labels best.  Each label weighs the same however often its id stands in the table: a
+repeated text counts once, different texts of one id share the label's weight.  The raw
+counts, the weights and the choice cover all documents.
 
 Defined cases: null or blank text has log weight 0; documents of equal key (repeated rows)
 are kept or rejected together; a document labelled twice takes its least label; labels that
@@ -31,12 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import key_and_text, only, rows_of, staged
+from .common import key_and_text, only, rows_of, staged, utf8_texts
 from .shingles import mix
 from .word_codec import Remembered
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 20_000
+SHARE = 1 << 30  # weight of a label, as a whole number: sums are exact in any order
 PRIOR = 100.0  # occurrences that each bucket is taken to have seen at the raw rate
 _SYMBOLS = set("#*$%&|<>")
 
@@ -88,28 +91,36 @@ def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Data
             .withColumn("fits", F.pmod(F.xxhash64("labelled_id", F.lit("half")), F.lit(2)) == 0))
 
 
-def count_ngrams(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket counts of all texts and of those of the target (``good`` = 1, ``fits``).  Each
-    task sends at most one row a bucket."""
+def target_texts(marked: DataFrame) -> DataFrame:
+    """(text, share) of the target (``good`` = 1, ``fits``): one row for each label and
+    different text; ``share`` is the label's weight over the number of its texts."""
+    rows = marked.where("good = 1 and fits")
+    texts = rows.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    shares = rows.groupBy(F.col("doc_id").alias("_id")).agg(  # a row for each label at most
+        F.floor(F.lit(SHARE) / F.countDistinct("text_hash")).cast("long").alias("share"))
+    return texts.join(F.broadcast(shares), F.col("doc_id") == F.col("_id")).select("text", "share")
+
+
+def count_ngrams(source: DataFrame) -> np.ndarray:
+    """Bucket counts of all texts, each times its ``share`` if there is one.  Each task sends
+    at most one row a bucket."""
+    shared = "share" in source.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            wanted = [g == 1 and f for g, f in zip(batch.column("good").to_pylist(), batch.column("fits").to_pylist())]
-            for _, texts in rows_of([batch]):
-                for text, in_target in zip(texts, wanted):
-                    np.add.at(raw, own := buckets_of(text), 1)
-                    if in_target:
-                        np.add.at(target, own, 1)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
-
-    rows = source.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # BUCKETS rows at most
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+            shares = batch.column("share").to_pylist() if shared else [1] * batch.num_rows
+            for text, share in zip(utf8_texts(batch.column("text")), shares):
+                np.add.at(counts, buckets_of(text), share)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], ["bucket", "n"])
+
+    rows = source.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).collect()  # BUCKETS rows at most
+    counts = np.zeros(BUCKETS)
     for r in rows:
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    return raw, target
+        counts[r["bucket"]] = r["n"]
+    return counts
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray, prior: float = PRIOR) -> np.ndarray:
@@ -164,6 +175,14 @@ def kth_greatest(table: DataFrame, column: str, k: int, few: int = 10_000) -> fl
             k -= r["n"]
 
 
+def held_out(weighed: DataFrame) -> DataFrame:
+    """(good, log_weight) of each label that the target has not seen: the mean over the
+    different texts of its id."""
+    texts = weighed.where("not fits").groupBy("doc_id", "text_hash").agg(
+        F.max("good").alias("good"), F.max("log_weight").alias("log_weight"))
+    return texts.groupBy("doc_id").agg(F.max("good").alias("good"), F.avg("log_weight").alias("log_weight")).drop("doc_id")
+
+
 def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, max_labelled: int = MAX_LABELLED,
                     seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_ngrams, log_weight, gumbel_key, kept) of every document.
@@ -173,7 +192,7 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, ma
     sample = labelled_sample(labels, max_labelled)
     marked = source.join(F.broadcast(sample), source["doc_id"] == sample["labelled_id"], "left").select(
         "doc_id", "text", F.xxhash64("text").alias("text_hash"), "good", "fits")
-    ratios = log_ratios(*count_ngrams(marked))
+    ratios = log_ratios(count_ngrams(source.select("text")), count_ngrams(target_texts(marked)) / SHARE)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +207,7 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, ma
         weigh, f"doc_id {id_type}, text_hash long, good int, fits boolean, n_ngrams long, log_weight double"
     ).withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "weights")
     if k is None:
-        known = weighed.where("not fits").select("good", "log_weight").limit(4 * max_labelled).collect()
+        known = held_out(weighed).collect()  # max_labelled rows at most
         cut = best_cut(np.array([r["log_weight"] for r in known]), np.array([r["good"] == 1 for r in known], bool))
         k = weighed.where(F.col("log_weight") >= F.lit(float(cut))).count()
     total = weighed.count()

@@ -2,11 +2,13 @@
 
 import math
 import re
+import struct
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from farebox.llm import resampling
 from farebox.llm.resampling import best_cut, keep_resampled, kth_greatest, labelled_sample, resample
@@ -104,6 +106,82 @@ def test_weights_are_log_ratios_of_ngram_counts(spark):
     assert got[4] == (0, 0.0)
 
 
+def xx(seed, *values):
+    """Spark's xxhash64 of longs, ints and strings, as an unsigned number."""
+    for kind, v in values:
+        seed = xxh64_intdigest(v.encode() if kind == "s" else struct.pack(f"<{kind}", v), seed)
+    return seed
+
+
+def plain_resample(rows, labels, max_labelled, seed=7):
+    """(fits of each used label, target n-grams, cut, k, [(id, log weight, key, kept)]) in plain Python."""
+    least = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            least[i] = min(q, least.get(i, q))
+    used = sorted(least, key=lambda i: ((h := xx(42, ("q", i))) - (h >> 63 << 64), i))[:max_labelled]
+    fits = {i: xx(42, ("q", i), ("s", "half")) % 2 == 0 for i in used}
+    texts = {i: sorted({t or "" for d, t in rows if d == i}) for i in used}
+    raw, target = Counter(), Counter()
+    for _, t in rows:
+        raw.update(resampling.buckets_of((t or "").encode()).tolist())
+    for i in used:
+        for t in texts[i] if fits[i] and least[i] == 1 else []:
+            for b in resampling.buckets_of(t.encode()).tolist():
+                target[b] += 1 / len(texts[i])
+    scale = sum(target.values()) / max(1, sum(raw.values()))
+
+    def weight(t):
+        return sum(math.log((target[b] + 100) / (raw[b] * scale + 100)) for b in resampling.buckets_of((t or "").encode()).tolist())
+
+    held = [(sum(map(weight, texts[i])) / len(texts[i]), least[i] == 1) for i in used if not fits[i] and texts[i]]
+    cut = -math.inf
+    if len({g for _, g in held}) == 2:
+        values = sorted({w for w, _ in held})
+        cuts = [-math.inf, *((a + b) / 2 for a, b in zip(values, values[1:])), math.inf]
+
+        def caught(c, kind):
+            return sum((w < c) for w, g in held if g == kind) / sum(g == kind for _, g in held)
+
+        cut = max(cuts, key=lambda c: caught(c, False) - caught(c, True))
+    weights = [weight(t) for _, t in rows]
+    k = sum(w >= cut for w in weights)
+    noise = [((xx(42, *([("q", i)] if i is not None else []), ("i", seed)) % 2 ** 52) + 0.5) / 2 ** 52 for i, _ in rows]
+    keys = [w - math.log(-math.log(u)) for w, u in zip(weights, noise)]
+    kth = sorted(keys, reverse=True)[k - 1] if k else math.inf
+    return fits, target, cut, k, [(i, w, g, g >= kth) for (i, _), w, g in zip(rows, weights, keys)]
+
+
+def check_resample(spark, rows, labels, max_labelled=20_000):
+    want = plain_resample(rows, labels, max_labelled)
+    got = resample(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1),
+                   spark.createDataFrame(labels, "doc_id long, quality int"), max_labelled=max_labelled).collect()
+    assert len(got) == len(rows)
+    for r, (i, w, g, kept) in zip(got, want[-1]):  # one file, in the order of the rows
+        assert r["doc_id"] == i and math.isclose(r["log_weight"], w, abs_tol=1e-9) and math.isclose(r["gumbel_key"], g, abs_tol=1e-9)
+        assert r["kept"] == kept
+    return want
+
+
+def labelled_rows():
+    """40 labelled ids, good and bad in turn, with texts of their own kind, and rows without a label."""
+    def text(i, good):
+        words = [f"good{(i * j) % 23}" if good else f"bad{(i * j) % 19}" for j in range(1, 30)]
+        return " ".join(words + [f"all{i % 5}"])
+
+    return [(i, text(i, i % 2)) for i in range(40)] + [(100 + i, text(i, i % 3)) for i in range(60)] + [(None, "good1 bad1")]
+
+
+@pytest.mark.parametrize("hot", ["bad and held out", "good and held out", "good and in the target"])
+def test_a_repeated_labelled_document_counts_once(spark, hot):
+    rows, labels = labelled_rows(), [(i, i % 2) for i in range(40)]
+    fits = plain_resample(rows, labels, 40)[0]
+    key = next(i for i in range(40) if fits[i] == ("target" in hot) and i % 2 == ("good" in hot))
+    # more rows than four for each label, before all others
+    want = check_resample(spark, [rows[key]] * 170 + [(key, "another text all1")] * 3 + rows, labels, 40)
+    assert math.isfinite(want[2]) and 0 < want[3] < 274
+
+
 @pytest.mark.parametrize("few", [3, 10_000])
 def test_kth_greatest(spark, few):
     rng = np.random.default_rng(2)
