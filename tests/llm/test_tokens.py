@@ -91,6 +91,27 @@ def test_plan_is_a_packing_close_to_the_bound(seed):
     assert plan.sequences <= max(alone, 1.01 * -(-(sizes.sum()) // CAPACITY)) + 1
 
 
+@pytest.mark.parametrize("n", [1, 50, 1000])
+def test_few_lengths(n):
+    histogram = np.zeros(CAPACITY + 1, np.int64)
+    histogram[[1044, 552, 532, 466]] = [6 * n, 6 * n, 6 * n, 12 * n]
+    assert sum(count for _, count in best_fit(histogram, CAPACITY)) == 11 * n
+    assert plan_sequences(histogram).sequences == 9 * n
+
+
+@pytest.mark.parametrize("n", [1, 700])
+def test_program_covers_every_length(n):
+    capacity = 512  # more lengths than there were rounds
+    histogram = np.full(capacity + 1, n, np.int64)
+    histogram[0] = 0
+    covered = np.zeros(capacity + 1, np.int64)
+    for pattern, count in solve_fractional(histogram, capacity).items():
+        assert count == int(count) and sum(s * k for s, k in pattern) <= capacity
+        for size, k in pattern:
+            covered[size] += k * count
+    assert (covered == histogram).all()
+
+
 def test_fractional_solution_covers_no_more_than_there_is():
     histogram = np.zeros(101, np.int64)
     histogram[[30, 40, 70, 60]] = [100, 50, 80, 7]
