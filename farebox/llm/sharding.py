@@ -6,8 +6,8 @@ is its weight over the sum of weights, and a new shard takes only the keys it wi
 record moves between old shards.
 
 Slots number the rows of a shard from 0 without gaps.  A shard is ranked in parts of about
-``part_rows`` rows (dealt by a hash of the row), so no task sorts a whole shard; the parts'
-counts come from a pass over the key column alone.
+``part_rows`` rows (dealt by a hash of id and text), so no task sorts a whole shard; the parts'
+counts come from a pass over the same two columns.
 
 Defined cases: a null key hashes as an empty one; null text has size 1 and the CRC-32 of "";
 repeated rows go to the same shard and take one slot each; an empty table gives no rows;
@@ -52,7 +52,7 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * 16, id_
     """(doc_id, size, text_crc32, shard, slot, grown_shard) of every document."""
     source = key_and_text(docs, id_col, text_col)
     parts = 1 + docs.count() // (len(weights) * part_rows)
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("_part")
+    part = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(parts)).alias("_part")
     rows = assign_shards(
         source.select("doc_id", part, (F.octet_length("text") + 1).cast("long").alias("size"),
                       F.crc32(F.encode("text", "UTF-8")).alias("text_crc32")),

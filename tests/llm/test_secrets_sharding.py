@@ -77,6 +77,14 @@ def test_shards(docs, texts):
     assert all(r["grown_shard"] in (r["shard"], 16) for r in got)
 
 
+def test_rows_of_one_id_are_ranked_in_parts(spark):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(400)], "doc_id long, text string")
+    got = sorted(shard_documents(docs, part_rows=3).collect(), key=lambda r: r["slot"])  # nine parts
+    assert [r["slot"] for r in got] == list(range(400))
+    falls = sum(a["text_crc32"] > b["text_crc32"] for a, b in zip(got, got[1:]))  # each part is in order
+    assert falls >= 6
+
+
 def test_weights_give_shares(spark):
     ids = spark.range(20_000).withColumnRenamed("id", "k")
     got = Counter(r["shard"] for r in assign_shards(ids, "k", [1.0, 2.0, 5.0]).select("shard").collect())

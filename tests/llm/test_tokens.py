@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from farebox.llm.bpe_words import encode_decode
-from farebox.llm.packing import CAPACITY, best_fit, pack_documents, plan_sequences, solve_fractional
+from farebox.llm.packing import CAPACITY, best_fit, pack_documents, plan_sequences, ranked_within_length, solve_fractional
 from farebox.llm.token_counts import MergeCounter, token_counts
 
 from .conftest import expected, rows
@@ -123,6 +123,16 @@ def test_fractional_solution_covers_no_more_than_there_is():
     assert (used <= histogram + 1e-6).all()
 
 
+def test_pieces_of_one_id_are_ranked_in_parts(spark):
+    pieces = spark.createDataFrame([(None, 0, 0, 7, c) for c in range(400)], "doc_id long, piece int, start long, length int, ids_crc32 long")
+    histogram = np.zeros(CAPACITY + 1, np.int64)
+    histogram[7] = 400
+    got = sorted(ranked_within_length(pieces, histogram, 40).collect(), key=lambda r: r["rank"])  # ten parts
+    assert [r["rank"] for r in got] == list(range(400))
+    falls = sum(a["ids_crc32"] > b["ids_crc32"] for a, b in zip(got, got[1:]))  # each part is in order
+    assert falls >= 6
+
+
 def test_empty(empty):
     assert encode_decode(empty, WORDS).collect() == []
     assert token_counts(empty, BYTES).collect() == []
