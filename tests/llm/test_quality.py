@@ -172,6 +172,15 @@ def labelled_rows():
     return [(i, text(i, i % 2)) for i in range(40)] + [(100 + i, text(i, i % 3)) for i in range(60)] + [(None, "good1 bad1")]
 
 
+def test_weights_cut_and_draw_against_plain_python(spark):
+    labels = [(i, i % 2) for i in range(40)] + [(None, 1), (3, None), (5, 0)]
+    fits, target, cut, k, drawn = check_resample(spark, labelled_rows(), labels)
+    for half in (True, False):  # both halves hold both kinds
+        assert {i % 2 for i in fits if i != 5 and fits[i] == half} == {0, 1}
+    assert sum(target.values()) > 0 and math.isfinite(cut) and 0 < k < len(drawn)
+    assert {kept for *_, kept in drawn} == {True, False} and len({w for _, w, *_ in drawn}) > 20
+
+
 @pytest.mark.parametrize("hot", ["bad and held out", "good and held out", "good and in the target"])
 def test_a_repeated_labelled_document_counts_once(spark, hot):
     rows, labels = labelled_rows(), [(i, i % 2) for i in range(40)]
