@@ -52,3 +52,87 @@ WITH RECURSIVE docs AS (
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.component_id
 FROM sets s JOIN (SELECT r.x, min(t.doc_id) AS component_id FROM reach r JOIN sets t ON r.y = t.row_id GROUP BY r.x) m
   ON s.row_id = m.x"""
+
+_TERMS = "regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(text=_LOWER)
+
+RANKED_SEARCH = f"""
+WITH docs AS (
+    SELECT * FROM (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS terms FROM documents) WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs
+), counts AS (
+    SELECT row_id, doc_id, term, 50 + (50 * n * (SELECT n_docs FROM totals)) // (SELECT n_terms FROM totals) AS m, count(*) AS tf
+    FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY row_id, doc_id, n, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * (SELECT n_docs FROM totals) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts GROUP BY term
+), asked AS (
+    SELECT row_number() OVER () AS item, item_id, {_TERMS} AS terms FROM benchmark
+), parts AS (
+    SELECT item, item_id, unnest(list_distinct(terms)) AS term FROM asked
+), scores AS (
+    SELECT p.item, p.item_id, c.row_id, c.doc_id,
+           CAST(sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * c.m))) AS BIGINT) AS score
+    FROM parts p JOIN weights w ON p.term = w.term JOIN counts c ON p.term = c.term
+    GROUP BY p.item, p.item_id, c.row_id, c.doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32, bit by bit, over the digits of the id.
+_CRC = """xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                      lambda x, bit: xor(x >> 1, (x & 1) * 3988292384))))"""
+_RUN = "OVER (PARTITION BY tree, level, place // 8 ORDER BY place ROWS BETWEEN "
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS row_id, doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+           CASE WHEN doc_id IS NOT NULL AND {_CRC} % 3 = 0 THEN {_LEAF.format(text=_FOLDED)} END AS tampered FROM documents
+), placed AS (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS members,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), grown(tree, level, place, hash, members) AS (
+    SELECT tree, 0, place, leaf, members FROM placed
+    UNION ALL
+    SELECT tree, level + 1, place // 8, sha256(string_agg(hash, '' ORDER BY place)), any_value((members + 7) // 8)
+    FROM grown WHERE members > 1 GROUP BY tree, level, place // 8
+), subroots AS (
+    SELECT tree, hash FROM grown WHERE members = 1
+), topped(tree, level, place, hash, members) AS (
+    SELECT -1, 0, tree, hash, (SELECT count(*) FROM subroots) FROM subroots
+    UNION ALL
+    SELECT -1, level + 1, place // 8, sha256(string_agg(hash, '' ORDER BY place)), any_value((members + 7) // 8)
+    FROM topped WHERE members > 1 GROUP BY level, place // 8
+), steps AS (
+    SELECT CAST(tree AS BIGINT) AS tree, level, place, (members <= 8 AND tree >= 0) AS leaves_tree,
+           coalesce(string_agg(hash, '') {_RUN} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+           coalesce(string_agg(hash, '') {_RUN} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+    FROM (SELECT * FROM grown UNION ALL SELECT * FROM topped) WHERE members > 1
+), climb(row_id, n, tree, level, place, hash, proof) AS (
+    SELECT row_id, 0, CAST(CASE WHEN members > 1 THEN tree ELSE -1 END AS BIGINT), 0,
+           CASE WHEN members > 1 THEN place ELSE tree END, coalesce(tampered, leaf), '' FROM placed
+    UNION ALL
+    SELECT c.row_id, c.n + 1, CASE WHEN s.leaves_tree THEN -1 ELSE s.tree END, CASE WHEN s.leaves_tree THEN 0 ELSE s.level + 1 END,
+           CASE WHEN s.leaves_tree THEN s.tree ELSE s.place // 8 END,
+           sha256(s.lefts || c.hash || s.rights), c.proof || s.lefts || s.rights
+    FROM climb c JOIN steps s ON c.tree = s.tree AND c.level = s.level AND c.place = s.place
+), ends AS (
+    SELECT row_id, arg_max(hash, n) AS hash, arg_max(proof, n) AS proof FROM climb GROUP BY row_id
+), roots AS (
+    SELECT hash FROM topped WHERE members = 1
+)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, (SELECT hash FROM roots) AS root, sha256(e.proof) AS proof_sha256,
+       e.hash AS folded_root, e.hash = (SELECT hash FROM roots) AS verified
+FROM placed p JOIN subroots s ON p.tree = s.tree JOIN ends e ON p.row_id = e.row_id"""

@@ -13,7 +13,10 @@ from . import oracle
 from .bpe_words import encode_decode
 from .common import documents
 from .digest import fingerprint_documents
+from .doc_trie import search_documents
+from .html_extract import extract_pages
 from .jaccard_join import jaccard_components
+from .merkle import manifest
 from .packing import pack_documents
 from .resampling import resample
 from .secret_scan import BASE_RULES, Ledger, scan_documents, spans_text
@@ -75,6 +78,18 @@ def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), words=4, percent=85)
 
 
+def q_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def q_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def q_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": q_secret_scans,
     "op2_bpe_words": q_bpe_words,
@@ -86,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": q_packing,
     "op9_jaccard_join": q_jaccard_join,
     "op10_fingerprints": q_fingerprints,
+    "op11_ranked_search": q_ranked_search,
+    "op12_html_extraction": q_html_extraction,
+    "op13_merkle_manifest": q_merkle_manifest,
 }
 
 # The others are not SQL (tokenizers, fitted models, digests, places of matches, CRC-32); they
@@ -93,4 +111,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op9_jaccard_join": oracle.JACCARD_JOIN,
+    "op11_ranked_search": oracle.RANKED_SEARCH,
+    "op13_merkle_manifest": oracle.MERKLE_MANIFEST,
 }
