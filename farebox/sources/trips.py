@@ -116,8 +116,9 @@ def _reader(spark: SparkSession, base: str | None):
     return reader.option("basePath", base) if base else reader
 
 
-def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
-    """``files`` (in name order) as one frame for each stretch of mergeable schemas.
+def _stretches(spark: SparkSession, files: list[str], base: str | None) -> list[tuple[list[str], bool, T.StructType]]:
+    """(files, whether their timestamps are epoch nanoseconds, schema) of each stretch of
+    ``files`` (in name order) whose schemas merge.
 
     Footers are merged by Spark's own distributed job.  Only when they conflict is the list
     halved and each half tried again, so the number of tries follows the number of schema
@@ -126,8 +127,7 @@ def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[Dat
     for nanos in (False, True):
         try:
             with _nanos_as_long(spark) if nanos else contextlib.nullcontext():
-                found = _reader(spark, base).parquet(*files)
-                schema = found.schema
+                return [(files, nanos, _reader(spark, base).parquet(*files).schema)]
         except READ_ERRORS as err:
             message = str(err)
             if "TIMESTAMP(NANOS" in message and not nanos:
@@ -135,27 +135,90 @@ def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[Dat
             if "CANNOT_MERGE" not in message or len(files) == 1:
                 raise
             break
-        if nanos:  # the types are known now, so the scan does not need the setting
-            found = _reader(spark, base).schema(schema).parquet(*files)
-        return [conform_trips(found, epoch_nanos=nanos)]
     half = len(files) // 2
-    return _merged(spark, files[:half], base) + _merged(spark, files[half:], base)
+    return _stretches(spark, files[:half], base) + _stretches(spark, files[half:], base)
+
+
+def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
+    """``files`` as one frame for each schema: stretches of equal schema are one read, so the
+    plan has as many branches as there are schemas, however they alternate by name."""
+    by_schema: dict[tuple[str, bool], tuple[T.StructType, list[str]]] = {}
+    for own, nanos, schema in _stretches(spark, files, base):
+        by_schema.setdefault((schema.json(), nanos), (schema, []))[1].extend(own)
+    # The types are known now, so the scan needs no setting and no footer job.
+    return [conform_trips(_reader(spark, base).schema(schema).parquet(*own), epoch_nanos=nanos)
+            for (_, nanos), (schema, own) in by_schema.items()]
+
+
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_REAL = (T.FloatType(), T.DoubleType())
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds every value of both: whole numbers the longer one, with floating
+    numbers DOUBLE, a NULL-only column the other; anything else (text and time, say) STRING."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    if a in (*_WHOLE, *_REAL) and b in (*_WHOLE, *_REAL):
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(min(38, whole + scale), scale)
+    return T.StringType()
+
+
+def wider_schema(schemas: list[T.StructType]) -> T.StructType:
+    """Every column of ``schemas``, matched case-insensitively, in order of appearance, each
+    in its wider type, nullable."""
+    found: dict[str, T.StructField] = {}
+    for field in (f for s in schemas for f in s.fields):
+        known = found.setdefault(field.name.lower(), T.StructField(field.name, field.dataType))
+        known.dataType = wider(known.dataType, field.dataType)
+    return T.StructType(list(found.values()))
+
+
+def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the columns of ``schema``: cast where the type differs (text that
+    is no number becomes NULL), NULL where ``df`` has none."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(field: T.StructField) -> Column:
+        own = _resolve(df, field.name)
+        if own is None:
+            return F.lit(None).cast(field.dataType)
+        source = F.col(f"`{own}`")
+        return source.try_cast(field.dataType) if isinstance(types[own], T.StringType) else source.cast(field.dataType)
+
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])
 
 
 def union_conformed(parts: list[DataFrame]) -> DataFrame:
-    """Union by name: a column that a part lacks reads as NULL, and a column of several
-    types takes their common type (BIGINT and DOUBLE: DOUBLE)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    """Union by name: a column that a part lacks reads as NULL, and a column of several types
+    takes their wider type (BIGINT and DOUBLE: DOUBLE; text and time: text, which the
+    cleaning step parses tolerantly after the gate; a raw number that is text in some parts:
+    DOUBLE, and NULL, which fails the gate, where the text is no number)."""
+    if len(parts) == 1:
+        return parts[0]
+    schema = wider_schema([p.schema for p in parts])
+    for field in schema.fields:
+        if field.name in S.RAW_TYPES and field.name not in S.TIMESTAMP_COLUMNS and isinstance(field.dataType, T.StringType):
+            field.dataType = T.DoubleType()
+    return reduce(DataFrame.union, [with_schema(p, schema) for p in parts])
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     """A1/A3: read every raw trip parquet file under ``paths`` as one frame.
 
     Schemas are merged across files: a column that a file lacks reads as NULL, columns added
-    by newer files appear.  When files disagree on a type, each stretch of agreeing files (by
-    name) is read on its own and the parts are unioned, numeric types widened.  Nanosecond
-    parquet timestamps, which Spark does not read, are read as epoch nanoseconds and become
-    ``timestamp_ntz`` microseconds.  No session setting is left changed.
+    by newer files appear.  When files disagree on a type, the files of each schema are read
+    on their own and the parts are unioned, types widened.  Nanosecond parquet timestamps,
+    which Spark does not read, are read as epoch nanoseconds and become ``timestamp_ntz``
+    microseconds.  No session setting is left changed.
     """
     parts = []
     for path in paths:
@@ -175,6 +238,22 @@ def read_files(spark: SparkSession, files: list[str], base: str) -> DataFrame:
     return union_conformed(_merged(spark, sorted(files), base))
 
 
+def files_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of all parquet files under ``path``, each in its wider type; None if there
+    is no file."""
+    try:
+        return _reader(spark, None).parquet(path).schema
+    except READ_ERRORS as err:
+        message = str(err)
+        if any(x in message for x in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            return None
+        if not any(x in message for x in ("CANNOT_MERGE", "TIMESTAMP(NANOS")):
+            raise
+    with _nanos_as_long(spark):
+        files = sorted(spark.read.parquet(path).inputFiles())
+    return wider_schema([schema for _, _, schema in _stretches(spark, files, path)])
+
+
 def raw_trip_schema() -> T.StructType:
     """The declared schema of the nine raw columns (for streaming readers and fixtures)."""
     return T.StructType([T.StructField(n, t) for n, t in S.RAW_TYPES.items()])
