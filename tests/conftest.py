@@ -101,3 +101,17 @@ def plan_text(df, mode: str = "formatted") -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
+
+
+def stage_totals(spark: SparkSession, group: str) -> dict[str, int]:
+    """Input and shuffle-write records over all stages of a job group."""
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = context._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    totals = {"input_records": 0, "shuffle_records": 0}
+    for stage in stages:
+        data = store.lastStageAttempt(stage)
+        totals["input_records"] += data.inputRecords()
+        totals["shuffle_records"] += data.shuffleWriteRecords()
+    return totals
