@@ -23,14 +23,42 @@ METRIC = "avg_fare_per_mile"
 WEIGHT = "total_trips"
 
 
+# Reported average → trip column.
+MEASURES = {
+    "avg_fare_per_mile": S.FARE_PER_MILE,
+    "avg_base_fare_per_mile": S.BASE_FARE_PER_MILE,
+    "avg_duration": S.DURATION_MIN,
+    "avg_distance": S.DISTANCE,
+}
+# Reported average → its measure in ``rollups.trip_moments``.
+IN_MOMENTS = {"avg_fare_per_mile": "fare_per_mile", "avg_base_fare_per_mile": "base_fare_per_mile",
+              "avg_duration": "trip_duration", "avg_distance": "trip_distance"}
+ROUTE_KEYS = (S.PICKUP_BOROUGH, S.DROPOFF_BOROUGH)
+
+
 def _group_measures() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias(WEIGHT),
-        F.avg(S.FARE_PER_MILE).alias("avg_fare_per_mile"),
-        F.avg(S.BASE_FARE_PER_MILE).alias("avg_base_fare_per_mile"),
-        F.avg(S.DURATION_MIN).alias("avg_duration"),
-        F.avg(S.DISTANCE).alias("avg_distance"),
-    ]
+    return [F.count(F.lit(1)).alias(WEIGHT), *[F.avg(c).alias(name) for name, c in MEASURES.items()]]
+
+
+def _merged_measures(measure_of: dict[str, str]) -> list[Column]:
+    return [F.sum("n").alias(WEIGHT),
+            *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(name) for name, m in measure_of.items()]]
+
+
+def route_moments(trips: DataFrame) -> DataFrame:
+    """Partial state of E15 per pickup month and borough pair: trips, and for each measure
+    its sum and non-NULL count.  Rows merge by addition (``merge_route_moments``), so a new
+    batch is added to the stored ones and no earlier trip is read."""
+    routes = trips.where(F.col(S.PICKUP_BOROUGH).isNotNull() & F.col(S.DROPOFF_BOROUGH).isNotNull())
+    return routes.groupBy(*S.PARTITION_KEYS, *ROUTE_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[x for name, c in MEASURES.items() for x in (F.sum(c).alias(f"sum_{name}"), F.count(c).alias(f"n_{name}"))])
+
+
+def merge_route_moments(moments: DataFrame) -> DataFrame:
+    """Rows of one month and borough pair added up."""
+    keys = (*S.PARTITION_KEYS, *ROUTE_KEYS)
+    return moments.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in moments.columns if c == "n" or c.startswith(("sum_", "n_"))])
 
 
 def benchmark_score(
@@ -66,19 +94,7 @@ def benchmark_score(
     )
 
 
-def time_based_fare_efficiency(moments: DataFrame, k: float = S.BAND_K) -> DataFrame:
-    """By (pickup_hour, time_of_day) against the all-hours benchmark, from the hourly
-    pre-aggregate (``rollups.trip_moments``); the trips are not scanned."""
-    groups = (
-        moments.where(F.col(S.HOUR).isNotNull())
-        .groupBy(S.HOUR, time_of_day().alias(S.TIME_OF_DAY))
-        .agg(
-            F.sum("n").alias(WEIGHT),
-            *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(name) for m, name in (
-                ("fare_per_mile", "avg_fare_per_mile"), ("base_fare_per_mile", "avg_base_fare_per_mile"),
-                ("trip_duration", "avg_duration"), ("trip_distance", "avg_distance"))],
-        )
-    )
+def _scored_hours(groups: DataFrame, k: float) -> DataFrame:
     scored = benchmark_score(groups, zscore_name="fare_efficiency_zscore", k=k)
     return scored.select(
         S.HOUR, S.TIME_OF_DAY, WEIGHT, "avg_fare_per_mile", "avg_duration", "avg_distance",
@@ -88,13 +104,21 @@ def time_based_fare_efficiency(moments: DataFrame, k: float = S.BAND_K) -> DataF
     )
 
 
-def route_fare_efficiency(trips: DataFrame, k: float = S.BAND_K) -> DataFrame:
-    """By (pickup_borough, dropoff_borough) route against the all-routes benchmark."""
-    groups = (
-        trips.where(F.col(S.PICKUP_BOROUGH).isNotNull() & F.col(S.DROPOFF_BOROUGH).isNotNull())
-        .groupBy(S.PICKUP_BOROUGH, S.DROPOFF_BOROUGH)
-        .agg(*_group_measures())
-    )
+def time_based_fare_efficiency(moments: DataFrame, k: float = S.BAND_K) -> DataFrame:
+    """By (pickup_hour, time_of_day) against the all-hours benchmark, from the stored
+    hourly pre-aggregate (``rollups.trip_moments``); no trip is read."""
+    groups = moments.where(F.col(S.HOUR).isNotNull()).groupBy(S.HOUR, time_of_day().alias(S.TIME_OF_DAY)).agg(
+        *_merged_measures(IN_MOMENTS))
+    return _scored_hours(groups, k)
+
+
+def time_based_from_trips(trips: DataFrame, k: float = S.BAND_K) -> DataFrame:
+    """E14 where no pre-aggregate is stored: one aggregation of the trips."""
+    groups = trips.where(F.col(S.HOUR).isNotNull()).groupBy(S.HOUR, time_of_day().alias(S.TIME_OF_DAY)).agg(*_group_measures())
+    return _scored_hours(groups, k)
+
+
+def _scored_routes(groups: DataFrame, k: float) -> DataFrame:
     scored = benchmark_score(groups, zscore_name="route_efficiency_zscore", k=k)
     return scored.select(
         F.concat(S.PICKUP_BOROUGH, F.lit(" to "), S.DROPOFF_BOROUGH).alias("route"),
@@ -104,3 +128,16 @@ def route_fare_efficiency(trips: DataFrame, k: float = S.BAND_K) -> DataFrame:
         ratio("avg_distance", "avg_duration").alias("speed_efficiency_score"),
         "pricing_opportunity_type", "fare_deviation_percent",
     )
+
+
+def route_fare_efficiency(trips: DataFrame, k: float = S.BAND_K) -> DataFrame:
+    """By (pickup_borough, dropoff_borough) route against the all-routes benchmark,
+    from trips."""
+    routes = trips.where(F.col(S.PICKUP_BOROUGH).isNotNull() & F.col(S.DROPOFF_BOROUGH).isNotNull())
+    return _scored_routes(routes.groupBy(*ROUTE_KEYS).agg(*_group_measures()), k)
+
+
+def route_from_moments(moments: DataFrame, k: float = S.BAND_K) -> DataFrame:
+    """E15 from the stored state by month and borough pair (``route_moments``); no trip is
+    read."""
+    return _scored_routes(moments.groupBy(*ROUTE_KEYS).agg(*_merged_measures({n: n for n in MEASURES})), k)

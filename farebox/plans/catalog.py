@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import anomaly, benchmark, views
+from ..operators.benchmark import route_moments
 
-# View name → (input table, builder).  Inputs: T trips, D daily, H hourly, V vendors,
-# M the hourly x vendor pre-aggregate.  Only the route view reads trips.
+# View name → (input table, builder).  Inputs: D daily, H hourly, V vendors,
+# M the hourly x vendor pre-aggregate, R the state by month and borough pair (worked out from
+# the trips where none is stored).
 VIEWS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "trip_counts_daily": ("D", views.trip_counts_daily),
     "trip_counts_monthly": ("D", views.trip_counts_monthly),
@@ -27,7 +29,7 @@ VIEWS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "vendor_volume_anomalies": ("D", anomaly.vendor_volume_anomalies),
     "performance_anomalies": ("D", anomaly.performance_anomalies),
     "time_based_fare_efficiency": ("M", benchmark.time_based_fare_efficiency),
-    "route_fare_efficiency": ("T", benchmark.route_fare_efficiency),
+    "route_fare_efficiency": ("R", benchmark.route_from_moments),
 }
 
 
@@ -43,6 +45,7 @@ def register_views(
     vendors: DataFrame,
     moments: DataFrame,
     ordered: bool = True,
+    routes: DataFrame | None = None,
 ) -> list[str]:
     """Publish the four tables and the fifteen views under their serving names.
 
@@ -50,7 +53,7 @@ def register_views(
     carries its serving ORDER BY, as the original definitions do.  Returns the view
     names in definition order.
     """
-    inputs = {"T": trips, "D": daily, "H": hourly, "V": vendors, "M": moments}
+    inputs = {"D": daily, "H": hourly, "V": vendors, "M": moments, "R": route_moments(trips) if routes is None else routes}
     for table, df in ((S.TRIPS_TABLE, trips), (S.DAILY_TABLE, daily),
                       (S.HOURLY_TABLE, hourly), (S.VENDOR_TABLE, vendors)):
         df.createOrReplaceTempView(table)
