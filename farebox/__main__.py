@@ -18,11 +18,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .plans.catalog import register_views
-from .plans.pipeline import run_pipeline
+from .plans.pipeline import DEDUP, run_pipeline
 from .session import LIBRARY_CONF
 from .sources.sinks import JDBC_CONNECTIONS, write_table
 from .sources.trips import read_trips
 from .sources.zones import read_zones
+from .streaming.compaction import compact
 from .streaming.incremental import BATCH, incremental_load
 
 
@@ -35,6 +36,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--no-views", action="store_true", help="do not write the view tables")
     p.add_argument("--fractions", choices=("fail", "null"), default="fail",
                    help="a fraction in a whole-number column fails the job or becomes NULL")
+    p.add_argument("--dedup", choices=tuple(DEDUP), default="exchange",
+                   help="find exact copies by exchanging every row, or digests first")
+    p.add_argument("--compact-after", type=int, default=0, metavar="N",
+                   help="with --incremental: rewrite the store's batches as one when N or more are live")
     p.add_argument("--jdbc-url", help="also publish the four tables to this JDBC database")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-env", default="JDBC_PASSWORD", help="environment variable that holds the password")
@@ -50,11 +55,14 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
     props = {k: v for k, v in (("user", args.jdbc_user), ("password", os.environ.get(args.jdbc_password_env)),
                                ("driver", args.jdbc_driver)) if v}
     options = {"jdbc_url": args.jdbc_url, "jdbc_properties": props, "jdbc_connections": args.jdbc_connections,
-               "on_fraction": args.fractions}
+               "on_fraction": args.fractions, "dedup": args.dedup}
     if args.incremental:
         store = incremental_load(spark, args.raw, zones, args.out, **options)
-        tables = [spark.read.parquet(p) for p in (store.trips, store.daily, store.hourly)]
-        tables += [store.read_vendors(spark), spark.read.parquet(store.moments)]
+        if args.compact_after:
+            compact(spark, store, args.compact_after)
+        tables = [store.read_trips(spark), spark.read.parquet(store.daily), spark.read.parquet(store.hourly)]
+        tables += [store.read_vendors(spark), store.read_moments(spark)]
+        routes = store.read_routes(spark)
         reports = spark.read.parquet(store.report)
         last = reports.agg(F.max(BATCH)).first()[0]
         report = reports.where(F.col(BATCH) == last).first()
@@ -62,12 +70,13 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
     else:
         result = run_pipeline(spark, read_trips(spark, args.raw), zones, args.out, **options)
         tables = [result.trips, result.daily, result.hourly, result.vendors, result.moments]
+        routes = result.routes
         report = result.report.first()
         mode = "batch"
     summary = {"mode": mode, "total_rows": report["total_rows"], "passed_rows": report["passed_rows"],
                "failed_by_rule": {r["rule"]: r["failed_rows"] for r in report["rules"]}}
     if not args.no_views:
-        names = register_views(spark, *tables, ordered=False)
+        names = register_views(spark, *tables, ordered=False, routes=routes)
         for name in names:
             write_table(spark.table(name), f"{args.out}/views/{name}")
         summary["views"] = len(names)

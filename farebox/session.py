@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +64,40 @@ def shared_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/farebox-staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_GROUP_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+
+
+class JobWatch:
+    """The jobs of one block of code (``watched``)."""
+
+    def __init__(self, spark: SparkSession, group: str):
+        self.spark, self.group = spark, group
+
+    def ran_once(self) -> bool:
+        """Whether every task of the block's jobs ran once: no stage was tried again and no
+        task failed.  False as well when nothing is known of them."""
+        context = self.spark.sparkContext
+        context._jsc.sc().listenerBus().waitUntilEmpty()
+        tracker = context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(self.group)]
+        if not jobs or None in jobs:
+            return False
+        stages = [tracker.getStageInfo(s) for j in jobs for s in j.stageIds]
+        # A stage that was skipped, its shuffle being there already, has no info.
+        return all(s is None or s.currentAttemptId == 0 and s.numFailedTasks == 0 for s in stages)
+
+
+@contextlib.contextmanager
+def watched(spark: SparkSession) -> Iterator[JobWatch]:
+    """Run a block's jobs in a group of their own; the caller's group is put back."""
+    context = spark.sparkContext
+    before = {p: context.getLocalProperty(p) for p in _GROUP_PROPERTIES}
+    watch = JobWatch(spark, f"watched-{uuid.uuid4().hex}")
+    context.setJobGroup(watch.group, before["spark.job.description"] or "")
+    try:
+        yield watch
+    finally:
+        for name, value in before.items():
+            context.setLocalProperty(name, value)

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-# Shuffle partitions for each part of a month: months are some dozens, so a table is spread
-# over all partitions while a month has few files.
+# Without adaptive execution: shuffle partitions for each part of a month.
 PARTITIONS_PER_SALT = 32
 
 
@@ -22,19 +21,27 @@ def clustered_layout(
 ) -> DataFrame:
     """Lay trips out for fast access by pickup time and by (vendor, pickup time).
 
-    Trips are hash-partitioned on year, month and a salt (a hash of the row modulo
-    ``salts``), so a month lies in at most ``salts`` files, a month or an instant that holds
-    a large share of all trips is split, and no sampling pass runs.  ``salts`` defaults to
-    one for each ``PARTITIONS_PER_SALT`` shuffle partitions, so it grows with the cluster
-    and the data the partitions are sized for.  Inside a task, rows are sorted by the write
-    partition keys (so the writer needs no extra sort), then vendor and pickup time; parquet
-    min/max statistics then prune row groups for both access paths.
+    Trips are rebalanced by year and month: adaptive execution measures each month's bytes
+    in the exchange and cuts a month into tasks of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so a load of one month uses as many
+    tasks as one of many, files are of even size and no counting or sampling pass runs.
+    Inside a task, rows are sorted by the write partition keys (so the writer needs no extra
+    sort), then vendor and pickup time; parquet min/max statistics then prune row groups for
+    both access paths.
+
+    With ``num_partitions`` or ``salts``, or without adaptive execution, trips are
+    hash-partitioned on year, month and a salt instead (a hash of the row modulo ``salts``;
+    by default one for each ``PARTITIONS_PER_SALT`` partitions).
     """
-    partitions = num_partitions or int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = salts or -(-partitions // PARTITIONS_PER_SALT)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(parts))
-    keys = [F.col(S.YEAR), F.col(S.MONTH), salt]
-    dealt = trips.repartition(num_partitions, *keys) if num_partitions else trips.repartition(*keys)
+    conf = trips.sparkSession.conf
+    if num_partitions is None and salts is None and conf.get("spark.sql.adaptive.enabled") == "true":
+        dealt = trips.hint("rebalance", F.col(S.YEAR), F.col(S.MONTH))
+    else:
+        partitions = num_partitions or int(conf.get("spark.sql.shuffle.partitions"))
+        parts = salts or -(-partitions // PARTITIONS_PER_SALT)
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(parts))
+        keys = [F.col(S.YEAR), F.col(S.MONTH), salt]
+        dealt = trips.repartition(num_partitions, *keys) if num_partitions else trips.repartition(*keys)
     return dealt.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
 
 
@@ -68,10 +75,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     Meant for aggregated tables, whose size is bounded by calendar keys and vendors:
     a partitioned one is first hash-partitioned on its partition columns (a small
     shuffle of aggregated rows), so each partition directory gets one file instead of
-    one per upstream task.
+    one per upstream task.  One task a core writes the directories; merging small tasks, as
+    adaptive execution would, would leave them all to one.
     """
     if partition_by:
-        df.repartition(*partition_by).write.mode(mode).option(
+        df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_by).write.mode(mode).option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*partition_by).parquet(path)
     else:
