@@ -24,6 +24,7 @@ or the longest page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -35,6 +36,7 @@ from .common import ship_package
 
 WINDOW = 3
 SURGE = 86
+NEAR = 50  # open elements among which the one that holds a paragraph is looked for
 SHORT = 25  # a line right at a surge, shorter than this and no heading, belongs to the gap
 
 RAW = frozenset("script style textarea title noscript template iframe object svg math canvas audio video select".split())
@@ -64,6 +66,7 @@ COMMENT_MARKS = frozenset("comment comments commentlist disqus reply replies res
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_DECLARED = re.compile(r"<[!?]")
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 _MARK = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
@@ -90,6 +93,7 @@ class Lines:
         self.linked = 0  # characters inside links
         # [element, no article text, reader comments and the like, paragraphs of its own]
         self.stack: list[list] = []
+        self.names: Counter[str] = Counter()  # open elements by name
         self.off = 0
         self.articles = 0
         self.heading = self.link = False
@@ -105,7 +109,7 @@ class Lines:
                 self.lengths.append(max(0, len(text) - self.linked))
                 self.headings.append(self.heading)
                 self.inside.append(self.articles > 0)
-                for element in reversed(self.stack):
+                for element in self.stack[:-NEAR:-1]:
                     if element[0] not in INNER:
                         element[3] += 1
                         break
@@ -131,6 +135,7 @@ class Lines:
 
     def _pop(self) -> None:
         name, off, _, _ = self.stack.pop()
+        self.names[name] -= 1
         self.off -= off
         self.articles -= name in ARTICLES
         if off:
@@ -165,6 +170,7 @@ class Lines:
             self._line()
             self._gap()
         self.stack.append([name, off, bool(marks & COMMENT_MARKS) or name == "aside", 0])
+        self.names[name] += 1
         self.off += off
         self.articles += name in ARTICLES
 
@@ -174,6 +180,8 @@ class Lines:
         if name not in INLINE:
             self._line()
             self.heading = False
+        if not self.names[name]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == name:
                 while len(self.stack) > at:
@@ -183,8 +191,11 @@ class Lines:
                 return  # an inline end tag does not end a block
 
     def _read(self, html: str) -> None:
-        at, end = 0, len(html)
+        at, end, last = 0, len(html), html.rfind(">")
         while at < end:
+            if at > last:  # no tag is left; an open comment or declaration hides the rest
+                self._text(_DECLARED.split(html[at:], maxsplit=1)[0])
+                return
             found = _TOKEN.search(html, at)
             if found is None:
                 self._text(html[at:])
