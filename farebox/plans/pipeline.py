@@ -24,7 +24,7 @@ from ..session import watched
 from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
 from ..sources.trips import settle_types
 from ..sources.versions import TableSet
-from ..sources.zones import checked_lookup
+from ..sources.zones import check_zones, checked_lookup
 
 MOMENTS_TABLE = "trip_moments"
 ROUTES_TABLE = "route_moments"
@@ -111,6 +111,8 @@ def run_pipeline(
     With ``jdbc_url`` the four tables are also published to the relational store, each read
     from its written parquet (see ``sinks.publication``).
     """
+    if zones is not None:
+        check_zones(zones)
     tables = TableSet(spark, out_dir)
     folder = tables.fresh_folder()
     out = tables.folder(folder)

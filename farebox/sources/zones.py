@@ -28,3 +28,15 @@ def checked_lookup(zones: DataFrame) -> DataFrame:
         S.LOCATION_ID,
         *[F.when(F.col("_rows") == 1, F.col(c)).otherwise(F.raise_error(message).cast("string")).alias(c) for c in values],
     )
+
+
+class DuplicateZoneError(ValueError):
+    """A zone lookup has several rows of one LocationID."""
+
+
+def check_zones(zones: DataFrame) -> None:
+    """Fail now if a LocationID occurs twice.  The jobs call this before they start: a plan
+    that reads no zone column drops the lookup together with its own check."""
+    twice = zones.where(F.col(S.LOCATION_ID).isNotNull()).groupBy(S.LOCATION_ID).count().where(F.col("count") > 1)
+    if found := sorted(r[S.LOCATION_ID] for r in twice.limit(10).collect()):
+        raise DuplicateZoneError(f"duplicate LocationID in the zone lookup: {found}")

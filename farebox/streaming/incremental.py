@@ -43,7 +43,7 @@ from ..plans.pipeline import MOMENTS_TABLE, ROUTES_TABLE, clean_and_derive, gate
 from ..session import watched
 from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
 from ..sources.trips import read_files
-from ..sources.zones import checked_lookup
+from ..sources.zones import check_zones, checked_lookup
 from .ledger import BATCH, BatchLedger
 
 BATCH_KEYS = (*S.PARTITION_KEYS, BATCH)
@@ -180,6 +180,8 @@ def incremental_load(
     functions give the tables, ``spark.read`` the daily and hourly rollups.
     """
     store = TripStore(store_root.rstrip("/"))
+    if zones is not None:
+        check_zones(zones)
     lookup = checked_lookup(zones) if zones is not None else None
 
     def process(batch: DataFrame, batch_id: int) -> None:

@@ -17,7 +17,7 @@ from farebox.operators.rollups import merge_moments, trip_moments, vendors_from_
 from farebox.plans import pipeline
 from farebox.plans.pipeline import enriched_trips, run_pipeline
 from farebox.session import watched
-from farebox.sources.sinks import clustered_layout
+from farebox.sources.sinks import write_partitioned
 from farebox.sources.table_record import described, record_tables
 from farebox.sources.trips import read_trips, wider, wider_schema, with_schema
 from farebox.sources.versions import TableSet, delete_folder, list_folders
@@ -311,17 +311,30 @@ def test_stored_months_open_no_file(spark, zones, tmp_path):
     assert stored_months(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_duplicate_zone_stops_the_jobs(spark, zones, tmp_path):
+    from farebox.sources.zones import DuplicateZoneError
+
+    twice = zones.unionByName(zones.where(F.col(S.LOCATION_ID) == 3))
+    with pytest.raises(DuplicateZoneError, match=r"\[3\]"):
+        run_pipeline(spark, make_trips(spark, rides(1)), twice, str(tmp_path / "out"))
+    with pytest.raises(DuplicateZoneError):
+        incremental_load(spark, str(tmp_path), twice, str(tmp_path / "store"))
+
+
 # ---------------------------------------------------------------------------
 # Layout
 # ---------------------------------------------------------------------------
-def test_one_month_uses_many_even_tasks(spark, zones):
-    one = enriched_trips(make_trips(spark, rides(5, 20_000)).repartition(16), zones)
+def test_one_month_uses_many_even_tasks(spark, zones, tmp_path):
+    enriched_trips(make_trips(spark, rides(5, 20_000)), zones).repartition(16).write.parquet(str(tmp_path / "in"))
+    one = spark.read.parquet(str(tmp_path / "in"))  # several map tasks, as of any real batch
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
-        sizes = sorted(r["n"] for r in clustered_layout(one).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+        write_partitioned(one, str(tmp_path / "t"))  # each task writes one file
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    sizes = sorted(r["count"] for r in stored.groupBy(F.input_file_name()).count().collect())
     assert sum(sizes) == 20_000
     assert len(sizes) >= 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
