@@ -11,6 +11,8 @@ from __future__ import annotations
 import uuid
 import warnings
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -128,6 +130,15 @@ def observed_gate(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(observation, *_counts()).filter(pass_condition()), observation
 
 
+def _metrics(observation: Observation) -> dict[str, int]:
+    """What was observed; nothing if the optimizer folded the counting node away, as it does
+    when no row passes."""
+    try:
+        return observation.get
+    except (PySparkException, Py4JJavaError):
+        return {}
+
+
 def observed_report(df: DataFrame, observation: Observation, exact: bool) -> DataFrame:
     """The gate report from an observation of ``df``.
 
@@ -135,7 +146,7 @@ def observed_report(df: DataFrame, observation: Observation, exact: bool) -> Dat
     that ran again after an executor was lost a second time, and a plan that the optimizer
     folds away counts nothing: in both cases ``df`` is counted again, with a warning.
     """
-    metrics = observation.get if exact else {}
+    metrics = _metrics(observation) if exact else {}
     if not {"total_rows", "passed_rows"} <= set(metrics):
         warnings.warn("the gate's observed counts are missing or not exact; counting the input again", stacklevel=2)
         return gate_report(df)

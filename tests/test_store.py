@@ -107,11 +107,11 @@ def test_with_schema_fills_and_casts(spark):
 # ---------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def batches(spark, tmp_path_factory):
-    """A store of ten small batches over two months, and the rows of all of them."""
+    """A store of six small batches over two months, and the rows of all of them."""
     store = TripStore(str(tmp_path_factory.mktemp("batches")))
     lookup = checked_lookup(spark.createDataFrame(ZONE_ROWS, S.ZONE_SCHEMA))
     rows = []
-    for batch in range(10):
+    for batch in range(6):
         own = rides(1 + batch % 2, n=2 + batch % 3, vendor=1 + batch % 3)
         rows.append(own)
         load_batch(spark, store, lookup, make_trips(spark, own).coalesce(1), batch)
@@ -121,7 +121,7 @@ def batches(spark, tmp_path_factory):
 def test_batches_compact_into_few_files(spark, batches):
     store, rows, lookup = batches
     before = state(spark, store)
-    assert len(store.ledger(spark).live()) == 10
+    assert len(store.ledger(spark).live()) == 6
     assert compact(spark, store) == -1
     assert state(spark, store) == before
     assert list(store.ledger(spark).live()) == [-1]
@@ -131,20 +131,20 @@ def test_batches_compact_into_few_files(spark, batches):
     assert compact(spark, store) is None  # nothing to merge
 
     # A replay of a compacted batch changes nothing, nor does a load after it double a row.
-    load_batch(spark, store, lookup, make_trips(spark, rows[9]).coalesce(1), 9)
+    load_batch(spark, store, lookup, make_trips(spark, rows[5]).coalesce(1), 5)
     assert state(spark, store) == before
-    load_batch(spark, store, lookup, make_trips(spark, rides(3)), 10)
-    assert list(store.ledger(spark).live()) == [-1, 10]
+    load_batch(spark, store, lookup, make_trips(spark, rides(3)), 6)
+    assert list(store.ledger(spark).live()) == [-1, 6]
     after = state(spark, store)
     assert compact(spark, store) == -2 and state(spark, store) == after
     assert store.ledger(spark).live().keys() == {-2}
 
     # Old folders go; what is read stays.
     assert len(stored_batches(spark, store.trips)) > 1
-    assert expire_replaced(spark, store) > 30
+    assert expire_replaced(spark, store) > 20
     assert set(stored_batches(spark, store.trips)) == set(stored_batches(spark, store.moments)) == {-2}
     assert state(spark, store) == after and expire_replaced(spark, store) == 0
-    load_batch(spark, store, lookup, make_trips(spark, rides(4)), 11)
+    load_batch(spark, store, lookup, make_trips(spark, rides(4)), 7)
     assert store.read_trips(spark).count() == sum(after[0].values()) + 3
 
 
