@@ -66,13 +66,16 @@ def _word(word: bytes) -> int:
     return xxh3_64_intdigest(text.lower().encode()) >> 10 << 9 | _shape(text)
 
 
-_words = Remembered(_word, 500_000)
+def remembered_words() -> Remembered:
+    """A table of word codes, bounded in bytes; one lives as long as its task."""
+    return Remembered(_word)
 
 
-def buckets_of(text: bytes) -> np.ndarray:
-    """The bucket of every n-gram occurrence of a text."""
+def buckets_of(text: bytes, known: Remembered | None = None) -> np.ndarray:
+    """The bucket of every n-gram occurrence of a text; ``known`` holds codes of words."""
     words = text.split()
-    codes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    known = remembered_words() if known is None else known
+    codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     hashes, shapes = codes >> np.uint64(9), codes & np.uint64(511)
     same = np.zeros(len(words), np.uint64)
     same[1:] = hashes[1:] == hashes[:-1]
@@ -107,11 +110,11 @@ def count_ngrams(source: DataFrame) -> np.ndarray:
     shared = "share" in source.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts, known = np.zeros(BUCKETS, np.int64), remembered_words()
         for batch in batches:
             shares = batch.column("share").to_pylist() if shared else [1] * batch.num_rows
             for text, share in zip(utf8_texts(batch.column("text")), shares):
-                np.add.at(counts, buckets_of(text), share)
+                np.add.at(counts, buckets_of(text, known), share)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], ["bucket", "n"])
 
@@ -195,9 +198,10 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, ma
     ratios = log_ratios(count_ngrams(source.select("text")), count_ngrams(target_texts(marked)) / SHARE)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = remembered_words()
         for batch in batches:
             for ids, texts in rows_of([batch]):
-                own = [buckets_of(t) for t in texts]
+                own = [buckets_of(t, known) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [ids, batch.column("text_hash"), batch.column("good"), batch.column("fits"), pa.array(map(len, own), pa.int64()),
                      pa.array([float(ratios[b].sum()) for b in own], pa.float64())],

@@ -1,4 +1,4 @@
-"""Token ids of white-space delimited words, by the tokenizers library, remembered per worker.
+"""Token ids of white-space delimited words, by the tokenizers library, remembered per task.
 
 The word-level tokenizer drops white space and never merges across it, so the ids of a text
 are the ids of its words ``[^\\x20\\x09-\\x0D]+`` one after another.  A word of printable
@@ -14,12 +14,13 @@ import json
 import re
 import struct
 from collections.abc import Callable
+from sys import getsizeof
 
 from tokenizers import Tokenizer
 
-# Words, and parts of words, remembered per Python worker; a fuller table is emptied.  An
-# entry takes about 200 bytes.
-REMEMBERED = 500_000
+# Bytes of each table of remembered words, or parts of words; a fuller one is emptied.  A
+# table lives as long as the task that made it.
+REMEMBERED = 24 << 20
 
 # Printable Latin-1 without ' and <, and without what Unicode counts as white space or as
 # numbers beyond 0-9 there.
@@ -37,35 +38,38 @@ def byte_symbols() -> list[str]:
 
 
 class Remembered(dict):
-    """A table that works out missing entries and is emptied when it holds ``most``."""
+    """A table that works out missing entries and is emptied when they take ``most`` bytes."""
 
-    def __init__(self, work_out: Callable, most: int):
+    def __init__(self, work_out: Callable, most: int = REMEMBERED):
         super().__init__()
-        self.work_out, self.most = work_out, most
+        self.work_out, self.most, self.held = work_out, most, 0
 
     def __missing__(self, key):
         value = self.work_out(key)
-        if len(self) >= self.most:
+        if self.held >= self.most:
             self.clear()
+            self.held = 0
+        self.held += getsizeof(key) + getsizeof(value) + 100  # a dict's slot and spare room
         self[key] = value
         return value
 
 
 class WordCodec:
-    """``ids[word]``: the ids of a word (UTF-8 bytes) as little-endian uint32."""
+    """``encode(word)``, or ``ids[word]``, which remembers: the ids of a word (UTF-8 bytes)
+    as little-endian uint32."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+    def __init__(self, tokenizer: Tokenizer, remembered: int = REMEMBERED):
+        self.tokenizer = tokenizer
+        self.model = tokenizer.model
         self.symbols = dict(enumerate(byte_symbols()))
-        self.ids = Remembered(self._word, remembered)
+        self.ids = Remembered(self.encode, remembered)
         self.parts = Remembered(self._part, remembered)
 
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else part.encode().decode("latin-1").translate(self.symbols)
         return _packed([t.id for t in self.model.tokenize(text)])
 
-    def _word(self, word: bytes) -> bytes:
+    def encode(self, word: bytes) -> bytes:
         text = word.decode()
         if _PLAIN.fullmatch(text):
             parts = self.parts
@@ -77,14 +81,14 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_codecs: dict[str, WordCodec] = {}
+_tokenizers: dict[str, Tokenizer] = {}
 
 
 def codec(path: str) -> WordCodec:
-    """The worker's codec for ``path``; workers are reused by later tasks."""
-    if path not in _codecs:
-        _codecs[path] = WordCodec(path)
-    return _codecs[path]
+    """A codec for ``path`` with empty tables; the file is read once a worker."""
+    if path not in _tokenizers:
+        _tokenizers[path] = Tokenizer.from_file(path)
+    return WordCodec(_tokenizers[path])
 
 
 def vocabulary(path: str) -> list[tuple[int, str]]:
