@@ -1,15 +1,17 @@
 """BPE encoding and decoding through a distinct-word table.
 
-Documents are dealt into blocks of about ``block_bytes`` of text by a hash of the row.  Each
-block sends its sorted distinct words, packed by word bucket, to the buckets; a bucket
-encodes each of its distinct words once and answers every request with the ids in the
-request's order; the ids are joined back to the words of the block by position.  Decoding
-looks the ids up in the id-to-piece table (bounded by the vocabulary) and joins the pieces
-as the library does for a file without a decoder: with one space between them.
-
-The text crosses the network once (both uses of the blocks read the same exchange).  Blocks
-and buckets grow in number, not in size, with the input; memory is bounded by a block (or
-the longest single text).
+A scan task sorts its documents and packs them into blocks of about ``block_bytes`` of text,
+each compressed to one row, so equal rows fill as many blocks as any others.  Each block
+sends its sorted distinct words, packed by word bucket, to the buckets; a bucket encodes each
+of its distinct words once and answers every request with the ids in the request's order; the
+ids are joined back to the words of the block by position.  Decoding looks the ids up in the
+id-to-piece table (bounded by the vocabulary) and joins the pieces as the library does for a
+file without a decoder: with one space between them.
+
+The texts cross the network once, as compressed blocks (both uses of the blocks read the same
+exchange).  Blocks and buckets grow in number, not in size, with the input; memory is bounded
+by a block (or the longest single text).  A task that runs again packs the same blocks: its
+rows are sorted by id and text, and equal rows are interchangeable.
 
 Defined cases: null text encodes as empty (no ids, empty decoded text); repeated rows give
 repeated results; an empty table gives no rows; other columns are left behind.
@@ -23,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +37,55 @@ from .word_codec import codec, vocabulary
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20  # text bytes a word bucket stands for
 
+BLOCK = "block long, rows binary"
 REQUEST = "block long, bucket int, words binary"
 ANSWER = "block long, bucket int, counts binary, ids binary"
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+def pack_blocks(block_bytes: int):
+    """Rows (doc_id, text) of a task as blocks: Arrow tables, compressed whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 24
+        held, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            nonlocal number, held, size
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as writer:
+                for part in held:
+                    writer.write_batch(part)
+            packed_rows = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+            out = pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([packed_rows], pa.binary())], ["block", "rows"])
+            number, held, size = number + 1, [], 0
+            return out
+
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            start, room = 0, block_bytes - size
+            for at, total in enumerate(np.cumsum(lengths).tolist()):
+                if total >= room:
+                    held.append(batch.slice(start, at + 1 - start))
+                    yield block()
+                    start, room = at + 1, total + block_bytes
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+                size += int(lengths[start:].sum())
+        if held:
+            yield block()
+
+    return run
+
+
+def rows_of_block(block: pa.Table) -> pa.Table:
+    """The documents of a block."""
+    data = zstandard.ZstdDecompressor().decompress(block.column("rows")[0].as_py())
+    return pa.ipc.open_stream(data).read_all()
+
+
 def words_by_bucket(texts: Iterable[bytes], buckets: int) -> list[tuple[int, list[bytes]]]:
     """The sorted distinct words of a block, by bucket: a function of the set of texts only,
     so that whoever recomputes it gets the same order."""
@@ -57,7 +104,7 @@ def ask(buckets: int):
     def run(block: pa.Table) -> pa.Table:
         pack = zstandard.ZstdCompressor(level=3).compress
         number = block.column("block")[0].as_py()
-        asked = words_by_bucket(utf8_texts(block.column("text").combine_chunks()), buckets)
+        asked = words_by_bucket(utf8_texts(rows_of_block(block).column("text").combine_chunks()), buckets)
         return pa.table({
             "block": pa.array([number] * len(asked), pa.int64()),
             "bucket": pa.array([b for b, _ in asked], pa.int32()),
@@ -72,13 +119,13 @@ def answer(path: str):
 
     def run(key: tuple[pa.Scalar, ...], requests: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        ids_of = codec(path).ids
+        encode = codec(path).encode
         encoded: dict[bytes, bytes] = {}
         for batch in requests:
             counts, ids = [], []
             for blob in batch.column("words").to_pylist():
                 words = unpack(blob).split()
-                encoded.update((w, ids_of[w]) for w in words if w not in encoded)
+                encoded.update((w, encode(w)) for w in words if w not in encoded)
                 found = [encoded[w] for w in words]
                 counts.append(packed(np.array([len(f) // 4 for f in found], "<u4")))
                 ids.append(packed(np.frombuffer(b"".join(found), "<u4")))
@@ -96,7 +143,8 @@ def rebuild(path: str, buckets: int, id_type: pa.DataType | None = None):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not pieces:
             pieces.update((i, p.encode()) for i, p in vocabulary(path))
-        texts = utf8_texts(block.column("text").combine_chunks())
+        rows = rows_of_block(block)
+        texts = utf8_texts(rows.column("text").combine_chunks())
         got = {b: (unpacked(c, "<u4"), unpacked(i, "<u4").tolist()) for b, c, i in zip(
             *(answers.column(x).to_pylist() for x in ("bucket", "counts", "ids")))}
         table: dict[bytes, tuple[int, bytes, bytes]] = {}
@@ -116,7 +164,7 @@ def rebuild(path: str, buckets: int, id_type: pa.DataType | None = None):
             id_hash.append(hashlib.sha256(b" ".join([x[1] for x in found])).hexdigest())
             text_hash.append(hashlib.sha256(b" ".join([x[2] for x in found])).hexdigest())
         return pa.table({
-            "doc_id": block.column("doc_id"), "n_tokens": pa.array(n_tokens, pa.int64()),
+            "doc_id": rows.column("doc_id"), "n_tokens": pa.array(n_tokens, pa.int64()),
             "ids_sha256": pa.array(id_hash, pa.string()), "decoded_sha256": pa.array(text_hash, pa.string()),
         })
 
@@ -128,10 +176,10 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
     source = key_and_text(docs, id_col, text_col)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, buckets = 1 + total // block_bytes, 1 + total // bucket_bytes
-    dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks)))
-    requests = dealt.groupBy("block").applyInArrow(ask(buckets), REQUEST)
+    buckets = 1 + total // bucket_bytes
+    blocks = source.sortWithinPartitions("doc_id", F.xxhash64("text"), "text").mapInArrow(pack_blocks(block_bytes), BLOCK)
+    requests = blocks.groupBy("block").applyInArrow(ask(buckets), REQUEST)
     answers = requests.groupBy("bucket").applyInArrow(answer(tokenizer_path), ANSWER)
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         rebuild(tokenizer_path, buckets), f"doc_id {id_type}, {RESULT}")
