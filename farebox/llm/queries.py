@@ -8,7 +8,6 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staging_path
 from . import oracle
 from .bpe_words import encode_decode
 from .common import documents
@@ -19,7 +18,7 @@ from .jaccard_join import jaccard_components
 from .merkle import manifest
 from .packing import pack_documents
 from .resampling import resample
-from .secret_scan import BASE_RULES, Ledger, scan_documents, spans_text
+from .secret_scan import BASE_RULES, scan_documents, session_ledger, spans_text
 from .sharding import shard_documents
 from .substring_dedup import dedup_digest
 from .token_counts import token_counts
@@ -29,8 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = Ledger(spark, staging_path(spark, "secret-ledger"))
-    found = scan_documents(documents(spark, sf_dir), ledger)
+    found = scan_documents(documents(spark, sf_dir), session_ledger(spark))
     names = [r.name for r in BASE_RULES]
 
     def of(*kinds: str) -> Column:

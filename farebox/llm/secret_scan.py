@@ -7,8 +7,8 @@ appends to the ledger, and joins the findings back to all paths.
 
 Defined cases: null text is an empty text (its blob is that of ""); repeated rows give
 repeated results; an empty table gives no rows; a rule whose version is raised is scanned
-again; a rule that is no longer asked for is not reported.  Spans are code points, end
-exclusive.  Other columns are left behind.
+again; a rule that is no longer asked for is not reported; a pair that overlapping runs have
+scanned twice is reported once.  Spans are code points, end exclusive.  Other columns are left behind.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staging_path
 from .common import key_and_text, utf8_texts
 
 
@@ -111,6 +112,15 @@ class Ledger:
         scanned.write.mode("append").parquet(self.path)
 
 
+# The session setting that names a lasting ledger; without it every call begins a new one.
+LEDGER_SETTING = "farebox.secrets.ledger"
+
+
+def session_ledger(spark: SparkSession) -> Ledger:
+    """The ledger that the session names, or a new one in the shared folder."""
+    return Ledger(spark, spark.conf.get(LEDGER_SETTING, None) or staging_path(spark, "secret-ledger"))
+
+
 def pair(rule: Rule) -> str:
     return f"{rule.name}@{rule.version}"
 
@@ -148,7 +158,8 @@ def ordered_spans(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def asked(x: Column) -> Column:
         return F.array_contains(current, F.concat_ws("@", x["rule"], x["version"].cast("string")))
 
-    all_spans = ledger.read().where(F.size("found") > 0).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("all"))
+    all_spans = ledger.read().where(F.size("found") > 0).groupBy("blob").agg(
+        F.array_distinct(F.flatten(F.collect_list("found"))).alias("all"))  # overlapping runs scan a pair twice
     ordered = F.transform(
         F.array_sort(F.transform(F.filter("all", asked), lambda x: F.struct(
             x["start"].alias("start"), F.array_position(order, x["rule"]).alias("nth"), x["end"].alias("end"), x["rule"].alias("rule")))),
