@@ -23,9 +23,8 @@ from farebox.llm.common import documents, staged
 from farebox.llm.jaccard_join import keep_one_of_each
 from farebox.llm.packing import pack_documents
 from farebox.llm.resampling import keep_resampled
-from farebox.llm.secret_scan import Ledger, redact_documents
+from farebox.llm.secret_scan import redact_documents, session_ledger
 from farebox.llm.substring_dedup import remove_repeats
-from farebox.session import staging_path
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -46,7 +45,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(redact_documents(docs, Ledger(spark, staging_path(spark, "secret-ledger"))))
+    return _recounted(redact_documents(docs, session_ledger(spark)))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
