@@ -10,8 +10,9 @@ unbroken lines there, and goes on until the window dives to nothing; the lines b
 two points are kept, links and short ones included.
 
 The length that counts for a line is its text outside links, so runs of links are dives.
-On a page with an ``article`` or ``main`` element only lines inside one count, in full; on
-other pages short lines without a heading right at the surge point belong to the gap before.
+On a page with an ``article`` or ``main`` element only lines inside one count, in full (of
+its ``header`` the headings); on other pages short lines without a heading right at the surge
+point belong to the gap before, and copyright lines at the dive to the gap after.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and misnested
 elements end with the element around them; a raw element (script, style ...) without its
@@ -56,6 +57,8 @@ sidebar aside complementary widget widgets related recommended teaser teasers tr
 notice notices cookie cookies consent gdpr alert popup modal overlay disclaimer newsletter subscribe signup login
 form search comment comments commentlist disqus reply replies respond share sharing social
 """.split())
+# First words of names that tell of another element (content with-sidebar).
+STATES = frozenset("has with without no not is".split())
 # Elements that paragraphs consist of, or stand in, within the element that holds the text.
 INNER = INLINE | HEADINGS | frozenset("p li dt dd td th tr ul ol dl tbody thead table blockquote pre figure figcaption".split())
 # Marks that an element of the page's frame may carry together with the article itself
@@ -70,6 +73,7 @@ _DECLARED = re.compile(r"<[!?]")
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 _MARK = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+_OWNER = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.I)  # the line that ends a page
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -77,7 +81,10 @@ def marks_of(attributes: str) -> set[str]:
     """The words of an element's class, id and role that mark boilerplate."""
     words: set[str] = set()
     for found in _MARK.findall(attributes):
-        words.update(p.lower() for p in _PART.findall("".join(found)))
+        for name in "".join(found).split():
+            parts = [p.lower() for p in _PART.findall(name)]
+            if parts and parts[0] not in STATES:
+                words.update(parts)
     return words & MARKS
 
 
@@ -96,6 +103,7 @@ class Lines:
         self.names: Counter[str] = Counter()  # open elements by name
         self.off = 0
         self.articles = 0
+        self.headers = 0  # of an article: only their headings are article text
         self.heading = self.link = False
         self._read(html)
         self._line()
@@ -104,7 +112,7 @@ class Lines:
         """End the current line."""
         if self.pieces:
             text = " ".join("".join(self.pieces).split())
-            if text:
+            if text and (self.heading or not self.headers):
                 self.texts.append(text)
                 self.lengths.append(max(0, len(text) - self.linked))
                 self.headings.append(self.heading)
@@ -136,6 +144,7 @@ class Lines:
     def _pop(self) -> None:
         name, off, _, _ = self.stack.pop()
         self.names[name] -= 1
+        self.headers -= name == "header" and self.headers > 0
         self.off -= off
         self.articles -= name in ARTICLES
         if off:
@@ -157,6 +166,8 @@ class Lines:
         if name in VOID or name in FORMATS and not attributes:
             return
         marks = marks_of(attributes) if attributes else set()
+        if name == "header" and self.articles:
+            marks.discard("header")
         if name in ARTICLES and not marks & COMMENT_MARKS:
             # An unclosed menu or advert does not hide the article after it.
             while self.off and not any(element[2] for element in self.stack):
@@ -171,6 +182,7 @@ class Lines:
             self._gap()
         self.stack.append([name, off, bool(marks & COMMENT_MARKS) or name == "aside", 0])
         self.names[name] += 1
+        self.headers += name == "header" and (self.articles > 0 or self.headers > 0)
         self.off += off
         self.articles += name in ARTICLES
 
@@ -258,7 +270,7 @@ def main_text(html: str) -> str:
     for a, b in stretches(lengths):
         while not structured and a < b - 1 and not lines.headings[a] and lengths[a] < SHORT:
             a += 1
-        while b > a and not lengths[b - 1]:
+        while b > a and (not lengths[b - 1] or not structured and _OWNER.match(lines.texts[b - 1])):
             b -= 1
         kept += [t for t, own in zip(lines.texts[a:b], lines.inside[a:b]) if t and (own or not structured)]
     return "\n\n".join(kept)
