@@ -1,4 +1,4 @@
-"""Token ids of white-space delimited words, by the tokenizers library, remembered per task.
+"""Token ids of white-space delimited words, by the tokenizers library, remembered per worker.
 
 The word-level tokenizer drops white space and never merges across it, so the ids of a text
 are the ids of its words ``[^\\x20\\x09-\\x0D]+`` one after another.  A word of printable
@@ -18,9 +18,13 @@ from sys import getsizeof
 
 from tokenizers import Tokenizer
 
-# Bytes of each table of remembered words, or parts of words; a fuller one is emptied.  A
-# table lives as long as the task that made it.
-REMEMBERED = 24 << 20
+# Bytes of a table of remembered words; a fuller one is emptied.  It lives as long as the
+# task that made it.
+REMEMBERED = 32 << 20
+# Bytes of each of a codec's two tables, of words and of their parts, which live as long as
+# the Python worker: some 480,000 entries.  Smaller ones cost CPU: at a quarter of this the
+# packing's token stage took 107 s of 0.5 GB instead of 79.
+REMEMBERED_IDS = 96 << 20
 
 # Printable Latin-1 without ' and <, and without what Unicode counts as white space or as
 # numbers beyond 0-9 there.
@@ -58,7 +62,7 @@ class WordCodec:
     """``encode(word)``, or ``ids[word]``, which remembers: the ids of a word (UTF-8 bytes)
     as little-endian uint32."""
 
-    def __init__(self, tokenizer: Tokenizer, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer: Tokenizer, remembered: int = REMEMBERED_IDS):
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         self.symbols = dict(enumerate(byte_symbols()))
@@ -81,14 +85,14 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_tokenizers: dict[str, Tokenizer] = {}
+_codecs: dict[str, WordCodec] = {}
 
 
 def codec(path: str) -> WordCodec:
-    """A codec for ``path`` with empty tables; the file is read once a worker."""
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path)
-    return WordCodec(_tokenizers[path])
+    """The worker's codec for ``path``; workers are reused by later tasks."""
+    if path not in _codecs:
+        _codecs[path] = WordCodec(Tokenizer.from_file(path))
+    return _codecs[path]
 
 
 def vocabulary(path: str) -> list[tuple[int, str]]:
