@@ -2,12 +2,20 @@
 
 Documents become token ids followed by id 0; documents longer than a sequence are cut into
 full pieces and a last shorter one.  A *configuration* is a multiset of lengths that fits
-one sequence.  The linear program "fewest configurations that cover the histogram" is
-solved by multiplicative weights: lengths carry prices, a knapsack dynamic program finds
-the dearest configurations, each is used for a share of what is left of its scarcest length
-in whole sequences, and the prices of the lengths it covered fall, until every length is
-covered.  Of this, the part of it that is full with the rest by best fit, and best fit alone
-(on counts), the one of fewest sequences is laid out.
+one sequence.
+
+1. The linear program "least total of configurations, in fractions, that covers the
+   histogram" is solved by multiplicative weights: lengths carry prices, a knapsack dynamic
+   program finds the dearest configurations, and the prices of the lengths they cover fall.
+   Prices that make no configuration dearer than 1 bound the program from below (its dual);
+   the gap between the two is part of the result (``Program``).
+2. The fractions are rounded to whole sequences as far as the histogram goes.
+3. Best fit, longest first, on counts, places what rounding leaves and what was in the less
+   full of the rounded configurations.
+
+If that takes more sequences than the dual bound, the same program in whole sequences
+(``solve_fractional``) and best fit alone are tried as well; the fewest sequences win, and
+the program's if equal.
 
 Only the histogram (at most ``capacity`` rows) and the configurations reach the driver;
 their number does not depend on the number of documents.  Pieces get their rank within
@@ -73,34 +81,125 @@ def priced(prices: np.ndarray, left: np.ndarray, capacity: int):
     """Knapsack by dynamic programming over configurations that use each length at most
     ``left`` times: the greatest total price for each room, and a function from a room to
     the configuration of that price."""
-    lengths = np.flatnonzero(left >= 1)
-    best = np.zeros(capacity + 1)
-    items, taken = [], []
-    for size in lengths[::-1]:
+    items = []
+    for size in np.flatnonzero(left >= 1)[::-1]:
         most = int(min(left[size], capacity // size))
         k = 1
         while most:  # 1, 2, 4 ... copies and the rest as items of their own
             k = min(k, most)
             most -= k
-            room = k * int(size)
-            with_it = best[:-room] + k * prices[size]
-            better = with_it > best[room:] + 1e-15
-            np.copyto(best[room:], with_it, where=better)
             items.append((int(size), k))
-            taken.append(better)
             k *= 2
+    best = np.zeros(capacity + 1)
+    taken = np.zeros((len(items), capacity + 1), bool)  # which rooms each item improved
+    for (size, k), own in zip(items, taken):
+        room = k * size
+        with_it = best[:-room] + k * prices[size]
+        better = with_it > best[room:] + 1e-15
+        np.copyto(best[room:], with_it, where=better)
+        own[room:] = better
 
     def configuration(at: int) -> dict[int, int]:
         copies: dict[int, int] = {}
-        for (size, k), better in zip(reversed(items), reversed(taken)):
-            if at >= size * k and better[at - size * k]:
-                copies[size] = copies.get(size, 0) + k
-                at -= size * k
+        end = len(items)
+        while len(of_room := np.flatnonzero(taken[:end, at])):
+            end = int(of_room[-1])
+            size, k = items[end]
+            copies[size] = copies.get(size, 0) + k
+            at -= size * k
         return copies
 
     return best, configuration
 
 
+@dataclass
+class Program:
+    """A fractional cover of a histogram: sequences of each configuration, and the dual
+    bound.  No packing has fewer sequences than ``bound``; the program's own total is at most
+    ``gap`` above it."""
+
+    shares: dict[Pattern, float]
+    bound: float
+
+    @property
+    def total(self) -> float:
+        return sum(self.shares.values())
+
+    @property
+    def gap(self) -> float:
+        return self.total / self.bound - 1 if self.bound else 0.0
+
+
+def solve_program(histogram: np.ndarray, capacity: int, rate: float = 0.02, near: float = 0.002) -> Program:
+    """Cover the whole histogram by configurations in fractions, by multiplicative weights.
+
+    A length's price starts at its share of a sequence, for which no configuration is dearer
+    than 1 and the histogram's price, its tokens over the capacity, is a dual bound; the
+    prices of later rounds, scaled so that the dearest configuration costs 1, may give a
+    better one.  A round solves one knapsack and buys, dearest first, the configurations
+    through each length whose price is within ``near`` of the dearest: half of what the
+    scarcest length still has, and all once a quarter of it is left.  Prices of the covered
+    lengths are multiplied by ``exp(-rate * covered share)``.  Each round buys the dearest
+    configuration and a length is the scarcest at most three times, so there are at most
+    three rounds a length, whatever the counts.
+    """
+    left = histogram.astype(float)
+    prices = np.arange(capacity + 1) / capacity
+    shares: dict[Pattern, float] = {}
+    bound = 0.0
+
+    def buy(copies: dict[int, int]) -> None:
+        most, scarcest = min((left[size] / k, size) for size, k in copies.items())
+        if most <= 0:
+            return
+        use = most if 4 * left[scarcest] <= histogram[scarcest] else most / 2
+        pattern = tuple(sorted(copies.items(), reverse=True))
+        shares[pattern] = shares.get(pattern, 0.0) + use
+        for size, k in pattern:
+            left[size] -= use * k
+            prices[size] *= np.exp(-rate * use * k / histogram[size])
+        left[scarcest] = 0.0 if use == most else left[scarcest]
+        np.maximum(left, 0.0, out=left)
+
+    while left.any():
+        best, configuration = priced(prices, np.where(left > 0, histogram, 0), capacity)
+        through = np.flatnonzero(left)
+        if not shares:  # every length is priced: the bound holds for the whole histogram
+            bound = float(histogram @ prices) / best[capacity]
+        value = prices[through] + best[capacity - through]
+        buy(configuration(capacity))
+        for at in np.argsort(-value, kind="stable"):
+            size = int(through[at])
+            if value[at] < (1 - near) * best[capacity]:
+                break
+            if left[size]:
+                copies = configuration(capacity - size)
+                copies[size] = copies.get(size, 0) + 1
+                if copies[size] <= histogram[size]:
+                    buy(copies)
+    return Program(shares, bound)
+
+
+def rounded(program: Program, histogram: np.ndarray) -> list[tuple[Pattern, int]]:
+    """Whole sequences of a program's configurations, no length more often than there is:
+    first the whole part of each share, then one more by falling fraction."""
+    left = histogram.astype(np.int64).copy()
+    whole: dict[Pattern, int] = {}
+
+    def take(pattern: Pattern, most: int) -> None:
+        count = min(most, *(int(left[size]) // k for size, k in pattern))
+        if count > 0:
+            whole[pattern] = whole.get(pattern, 0) + count
+            for size, k in pattern:
+                left[size] -= count * k
+
+    for pattern, share in sorted(program.shares.items(), key=lambda x: (-x[1], x[0])):
+        take(pattern, int(share))
+    for pattern, share in sorted(program.shares.items(), key=lambda x: (int(x[1]) - x[1], x[0])):
+        take(pattern, 1)
+    return list(whole.items())
+
+
 def solve_fractional(histogram: np.ndarray, capacity: int, rate: float = 0.02, near: float = 0.002) -> dict[Pattern, int]:
     """Cover the whole histogram by configurations with multiplicative weights, in the order
     bought.
@@ -185,29 +284,40 @@ class Placement:
         return sequence[run] + nth // copies[run], offset[run] + nth % copies[run] * length
 
 
+def completed(own: list[tuple[Pattern, int]], histogram: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
+    """``own`` and the rest of the histogram by best fit."""
+    left = histogram.copy()
+    for pattern, count in own:
+        for size, k in pattern:
+            left[size] -= count * k
+    return own + best_fit(left, capacity)
+
+
 def choose(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[Pattern, int]], int]:
     """Configurations and their counts that hold the histogram in the fewest sequences, and
-    how many of the sequences come from the program: all, those before the first that is not
-    full (best fit places the rest), or none (best fit alone, which needs no program if it
-    makes no more sequences than the tokens fill)."""
+    how many of the sequences come from the program.  Pieces of a whole sequence are one
+    each.  Of the rounded program the exactly full configurations stand, or those that lack
+    at most 0.2 % or any share, whichever leaves best fit the fewest sequences."""
     whole = int(histogram[capacity])
     rest = histogram.astype(np.int64).copy()
     rest[capacity] = 0
-    alone = best_fit(rest, capacity)
     filled = [(((capacity, 1),), whole)] * (whole > 0)
-    if sum(count for _, count in alone) == -(-int(rest @ np.arange(capacity + 1)) // capacity):
-        return filled + alone, 0
-    program = list(solve_fractional(rest, capacity).items())
-    full = next((i for i, (p, _) in enumerate(program) if sum(size * k for size, k in p) < 0.998 * capacity), len(program))
-    plans = [(alone, 0)]
-    for own in (program, program[:full]):
-        left = rest.copy()
-        for pattern, count in own:
-            for size, k in pattern:
-                left[size] -= count * k
-        plans.append((own + best_fit(left, capacity), sum(count for _, count in own)))
-    chosen, dealt = min(plans, key=lambda plan: sum(count for _, count in plan[0]))
-    return filled + chosen, dealt
+    if not rest.any():
+        return filled, 0
+
+    def plan(own: list[tuple[Pattern, int]]) -> tuple[int, int, list[tuple[Pattern, int]]]:
+        chosen = completed(own, rest, capacity)
+        dealt = sum(count for _, count in own)
+        return sum(count for _, count in chosen), -dealt, chosen
+
+    program = solve_program(rest, capacity)
+    whole_shares = rounded(program, rest)
+    plans = [plan([(p, n) for p, n in whole_shares if sum(s * k for s, k in p) >= least])
+             for least in (capacity, 0.998 * capacity, 0)]
+    if min(plans, key=lambda p: p[:2])[0] > np.ceil(program.bound - 1e-6):
+        plans += [plan(list(solve_fractional(rest, capacity).items())), plan([])]
+    total, dealt, chosen = min(plans, key=lambda p: p[:2])
+    return filled + chosen, -dealt
 
 
 def plan_sequences(histogram: np.ndarray, capacity: int = CAPACITY) -> Placement:
