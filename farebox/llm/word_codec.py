@@ -22,8 +22,8 @@ from tokenizers import Tokenizer
 # task that made it.
 REMEMBERED = 32 << 20
 # Bytes of each of a codec's two tables, of words and of their parts, which live as long as
-# the Python worker: some 480,000 entries.  Smaller ones cost CPU: at a quarter of this the
-# packing's token stage took 107 s of 0.5 GB instead of 79.
+# the Python worker: some 480,000 entries.  Smaller ones cost CPU: with 64 and 32 MB the packing's
+# token stage took 107 s on 0.5 GB instead of 79.
 REMEMBERED_IDS = 96 << 20
 
 # Printable Latin-1 without ' and <, and without what Unicode counts as white space or as
