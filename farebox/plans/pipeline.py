@@ -24,7 +24,7 @@ from ..session import watched
 from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
 from ..sources.trips import settle_types
 from ..sources.versions import TableSet
-from ..sources.zones import check_zones, checked_lookup
+from ..sources.zones import check_zones, stored_lookup
 
 MOMENTS_TABLE = "trip_moments"
 ROUTES_TABLE = "route_moments"
@@ -43,9 +43,16 @@ def clean_and_derive(gated: DataFrame, zones: DataFrame | None, zones_checked: b
     are equal after them.  Deduplicating first shuffles the narrow raw rows instead of rows
     carrying six more strings, and the lookups run after the shuffle, in the same stage.
     """
+    return add_trip_features(cleaned_trips(gated, zones, zones_checked, on_fraction, dedup))
+
+
+def cleaned_trips(gated: DataFrame, zones: DataFrame | None, zones_checked: bool = False,
+                  on_fraction: str = "fail", dedup: str = "exchange") -> DataFrame:
+    """``clean_and_derive`` without the derived columns, which the writers add after the
+    exchange by month."""
     settled = settle_types(DEDUP[dedup](gated), on_fraction)
     enriched = enrich_zones(settled, zones, checked=zones_checked)
-    return add_trip_features(temporal_filter(parse_timestamps(enriched)))
+    return temporal_filter(parse_timestamps(enriched))
 
 
 def enriched_trips(raw: DataFrame, zones: DataFrame | None, on_error: str = "fail", on_fraction: str = "fail") -> DataFrame:
@@ -117,10 +124,13 @@ def run_pipeline(
     folder = tables.fresh_folder()
     out = tables.folder(folder)
     gated, report_of = gated_and_counted(raw, dedup)
-    trips = clean_and_derive(gated, zones, on_fraction=on_fraction, dedup=dedup)
+    lookup = stored_lookup(zones) if zones is not None else None
+    cleaned = cleaned_trips(gated, lookup, zones_checked=True, on_fraction=on_fraction, dedup=dedup)
+    trips = add_trip_features(cleaned)
     trips_path = f"{out}/{S.TRIPS_TABLE}"
     with watched(spark) as watch:
-        write_partitioned(trips, trips_path, replace_table=True)
+        write_partitioned(cleaned, trips_path, replace_table=True,
+                          derive=lambda dealt: add_trip_features(dealt).select(*trips.columns))
     report = _stored(spark, report_of(watch.ran_once()), f"{out}/{S.REPORT_TABLE}")
     # Known schema: if no row passed the gate there are no data files to infer it from.
     stored = spark.read.schema(trips.schema).parquet(trips_path)

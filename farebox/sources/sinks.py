@@ -3,6 +3,8 @@ tables, and the JDBC table sink (A6)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ def clustered_layout(
     num_partitions: int | None = None,
     partition_by: tuple[str, ...] = S.PARTITION_KEYS,
     salts: int | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Lay trips out for fast access by pickup time and by (vendor, pickup time).
 
@@ -32,7 +35,12 @@ def clustered_layout(
     With ``num_partitions`` or ``salts``, or without adaptive execution, trips are
     hash-partitioned on year, month and a salt instead (a hash of the row modulo ``salts``;
     by default one for each ``PARTITIONS_PER_SALT`` partitions).
+
+    With ``derive`` the trips are dealt by the year and month of their pickup time, and the
+    columns that it adds are computed after the exchange instead of crossing the network.
     """
+    if derive:
+        trips = trips.withColumns({S.YEAR: F.year(S.PICKUP), S.MONTH: F.month(S.PICKUP)})
     conf = trips.sparkSession.conf
     if num_partitions is None and salts is None and conf.get("spark.sql.adaptive.enabled") == "true":
         dealt = trips.hint("rebalance", F.col(S.YEAR), F.col(S.MONTH))
@@ -42,7 +50,7 @@ def clustered_layout(
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns]), F.lit(parts))
         keys = [F.col(S.YEAR), F.col(S.MONTH), salt]
         dealt = trips.repartition(num_partitions, *keys) if num_partitions else trips.repartition(*keys)
-    return dealt.sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
+    return (derive(dealt) if derive else dealt).sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
 
 
 def write_partitioned(
@@ -52,15 +60,20 @@ def write_partitioned(
     partition_by: tuple[str, ...] = S.PARTITION_KEYS,
     layout: bool = True,
     replace_table: bool = False,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """A5: trips → parquet partitioned by pickup year and month.
 
     With ``mode="overwrite"`` only the partitions present in ``trips`` are replaced
     (dynamic partition overwrite), so re-running a batch is idempotent and other months
     stay untouched.  ``replace_table`` replaces the whole table: months that are no longer
-    in ``trips`` go.
+    in ``trips`` go.  Without ``layout`` rows are sorted where they are, with no exchange.
+    ``derive``: see ``clustered_layout``.
     """
-    frame = clustered_layout(trips, partition_by=partition_by) if layout else trips
+    if layout:
+        frame = clustered_layout(trips, partition_by=partition_by, derive=derive)
+    else:
+        frame = (derive(trips) if derive else trips).sortWithinPartitions(*partition_by, S.VENDOR, S.PICKUP)
     (
         frame.write.mode(mode)
         .option("partitionOverwriteMode", "static" if replace_table else "dynamic")

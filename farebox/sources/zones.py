@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import staging_path
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -30,6 +31,18 @@ def checked_lookup(zones: DataFrame) -> DataFrame:
     )
 
 
+def stored_lookup(zones: DataFrame) -> DataFrame:
+    """``checked_lookup`` written once (a row a zone) and read back.
+
+    A lookup that is itself a join is taken for the product of its inputs' bytes, so the
+    planner exchanges all trips on a handful of location ids; of a file it knows the size.
+    """
+    spark, path = zones.sparkSession, staging_path(zones.sparkSession, "zone-lookup")
+    lookup = checked_lookup(zones)
+    lookup.coalesce(1).write.parquet(path)
+    return spark.read.schema(lookup.schema).parquet(path)
+
+
 class DuplicateZoneError(ValueError):
     """A zone lookup has several rows of one LocationID."""
 

@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.benchmark import route_moments
+from ..operators.features import add_trip_features
 from ..operators.rollups import daily_from_moments, hourly_from_moments, trip_moments, vendors_from_moments
-from ..plans.pipeline import MOMENTS_TABLE, ROUTES_TABLE, clean_and_derive, gated_and_counted
+from ..plans.pipeline import MOMENTS_TABLE, ROUTES_TABLE, cleaned_trips, gated_and_counted
 from ..session import watched
 from ..sources.sinks import JDBC_CONNECTIONS, publication, write_jdbc, write_partitioned, write_table
 from ..sources.trips import read_files
-from ..sources.zones import check_zones, checked_lookup
+from ..sources.zones import check_zones, stored_lookup
 from .ledger import BATCH, BatchLedger
 
 BATCH_KEYS = (*S.PARTITION_KEYS, BATCH)
@@ -134,10 +135,15 @@ def load_batch(spark: SparkSession, store: TripStore, lookup: DataFrame | None,
                on_fraction: str = "fail", dedup: str = "exchange") -> DataFrame:
     """Steps 2-5 for the rows ``raw`` of one batch; returns the batch's stored trips."""
     gated, report_of = gated_and_counted(raw, dedup)
-    trips = clean_and_derive(gated, lookup, zones_checked=True, on_fraction=on_fraction, dedup=dedup)
-    trips = trips.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    cleaned = cleaned_trips(gated, lookup, zones_checked=True, on_fraction=on_fraction, dedup=dedup)
+
+    def derived(rows: DataFrame) -> DataFrame:
+        return add_trip_features(rows).withColumn(BATCH, F.lit(batch_id).cast("long"))
+
+    trips = derived(cleaned)
     with watched(spark) as watch:
-        write_partitioned(trips, store.trips, partition_by=BATCH_KEYS)
+        write_partitioned(cleaned, store.trips, partition_by=BATCH_KEYS,
+                          derive=lambda dealt: derived(dealt).select(*trips.columns))
     write_table(report_of(watch.ran_once()).withColumn(BATCH, F.lit(batch_id)), store.report, partition_by=(BATCH,))
     # Read with known schemas: a store whose batches all failed the gate has no data files
     # yet, and reads as empty instead of failing schema inference.
@@ -182,7 +188,7 @@ def incremental_load(
     store = TripStore(store_root.rstrip("/"))
     if zones is not None:
         check_zones(zones)
-    lookup = checked_lookup(zones) if zones is not None else None
+    lookup = stored_lookup(zones) if zones is not None else None
 
     def process(batch: DataFrame, batch_id: int) -> None:
         files = sorted(r["path"] for r in batch.select("path").collect())  # FILES_PER_BATCH at most
