@@ -42,22 +42,27 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     distances and fares out of range), times are strings with seconds, some malformed, and
     some location ids are in no zone, so that the lookups miss.
 
-    The joins are left joins on keys; the planner sizes them (customer and supplier are
-    small dimensions that Spark broadcasts under its own size threshold; orders is
-    joined by shuffle on the order key when it is large).  The exact copies are made in
-    line with ``explode`` instead of a second scan-and-join branch.
+    The joins are left joins on keys; the planner sizes them.  Customers are joined to the
+    narrow orders first, so the wide rows cross the network for the order key alone and,
+    when suppliers are too many to be sent to every executor, for the supplier key.  The
+    exact copies are made with ``explode`` below the joins, where it keeps no join from
+    being dropped by a query that reads no column of it.
     """
+    copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
+    )
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
-    )
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
+    ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_nationkey")
     joined = (
-        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        li.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
     pickup_shift = ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440).cast("int")
@@ -67,9 +72,6 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     dropoff = F.timestamp_add("SECOND", (F.col("l_partkey") % 60).cast("int"),
                               F.timestamp_add("MINUTE", ride_minutes, minute))
     no_count = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
-    copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
     order, part = F.col("l_orderkey"), F.col("l_partkey")
     distance = F.col("l_quantity") * F.col("l_discount") * 4
     return joined.select(
@@ -85,8 +87,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(part % 47 == 0, F.lit(NO_ZONE)).otherwise(F.col("s_nationkey")).alias(S.DO_LOCATION),
         F.when(order % 103 != 1, F.col("l_extendedprice") / 100).alias(S.FARE),
         (F.col("l_extendedprice") * (1 + F.col("l_tax")) / 100).alias(S.TOTAL),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+    )
 
 
 # Service zone names by LocationID % 3.

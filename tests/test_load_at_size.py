@@ -41,6 +41,24 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_raw_trips_keep_rows_whatever_the_keys(spark, tables):
+    customers = [(o, nation) for o, c in ROWS["orders"] for nation in [n for k, n in ROWS["customer"] if k == c and k is not None] or [None]]
+    expected = []
+    for order, _, supp, *_ in ROWS["lineitem"]:
+        pickups = [n for k, n in customers if k == order and k is not None] or [None]
+        dropoffs = [n for k, n in ROWS["supplier"] if k == supp and k is not None] or [None]
+        expected += [(p, d) for p in pickups for d in dropoffs] * (2 if order == 50 else 1)
+    got = [tuple(r) for r in testdata.raw_trips(spark, tables).select(S.PU_LOCATION, S.DO_LOCATION).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_pickup_years_need_no_join(spark, tables):
+    """The exploded copies stood above the joins and kept all three in a plan that reads
+    only lineitem."""
+    years = parse_timestamps(testdata.raw_trips(spark, tables).select(S.PICKUP), (S.PICKUP,)).agg(F.max(F.year(S.PICKUP)))
+    assert "Join" not in plan(years)
+
+
 def test_a_stored_lookup_moves_no_trip(spark):
     """A lookup that is a join counted as the product of its inputs: trips were exchanged on
     their location ids."""
