@@ -1,8 +1,10 @@
 """Compaction of an incrementally written store: many batch folders into one.
 
 The live batches of each table are rewritten under one new batch key, the compaction's
-number (negative), and one ledger entry then replaces them for readers: trips are laid out
-afresh by month, rows of equal keys in moments and routes are merged.  Until that entry is
+number (negative), and one ledger entry then replaces them for readers: the trips of months
+that lie in several batches are laid out afresh, those of months that one batch holds are
+laid out already and are copied without an exchange; rows of equal keys in moments and routes
+are merged.  Until that entry is
 written readers see the old folders, after it only the new one, so a compaction may die at
 any point; the next one takes the same number and writes the same partitions again.  A batch
 that is replayed after being compacted rewrites its old folder, which nobody reads.
@@ -13,7 +15,7 @@ until ``expire_replaced``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -40,13 +42,33 @@ def compact(spark: SparkSession, store: TripStore, at_least: int = 2) -> int | N
     trips = ledger.read(S.TRIPS_TABLE, store.trips, live).withColumn(BATCH, own)
     moments = merge_moments(ledger.read(MOMENTS_TABLE, store.moments, live)).withColumn(BATCH, own)
     routes = merge_route_moments(ledger.read(ROUTES_TABLE, store.routes, live)).withColumn(BATCH, own)
-    write_partitioned(trips, store.trips, partition_by=BATCH_KEYS)
+    shared, alone = months_by_batches(spark, store.trips, set(live))
+    for months, layout in ((shared, True), (alone, False)):
+        if months:
+            write_partitioned(of_months(trips, months), store.trips, partition_by=BATCH_KEYS, layout=layout)
     write_table(moments, store.moments, partition_by=BATCH_KEYS)
     write_table(routes, store.routes, partition_by=BATCH_KEYS)
     ledger.write(number, {S.TRIPS_TABLE: trips.schema, MOMENTS_TABLE: moments.schema, ROUTES_TABLE: routes.schema}, upto)
     return number
 
 
+def months_by_batches(spark: SparkSession, table_path: str, live: set[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The (year, month) folders that two or more of the ``live`` batches hold, and those
+    that one of them holds, from folder names."""
+    holders: dict[tuple[str, str], int] = {}
+    for batch, folders in stored_batches(spark, table_path).items():
+        for folder in folders if batch in live else ():
+            month = tuple(part.partition("=")[2] for part in folder.split("/")[-3:-1])
+            holders[month] = holders.get(month, 0) + 1
+    found = {(int(year), int(month)): n for (year, month), n in holders.items()}
+    return sorted(m for m, n in found.items() if n > 1), sorted(m for m, n in found.items() if n == 1)
+
+
+def of_months(trips: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """The rows of ``months``; a filter on partition columns, so other folders are not read."""
+    return trips.where((F.col(S.YEAR) * 12 + F.col(S.MONTH)).isin([year * 12 + month for year, month in months]))
+
+
 def stored_batches(spark: SparkSession, table_path: str) -> dict[int, list[str]]:
     """The month folders of each batch of a table, from its folder names alone."""
     found: dict[int, list[str]] = {}

@@ -84,3 +84,30 @@ def test_derived_columns_are_added_after_the_exchange(spark):
     assert text.index(S.DURATION_MIN) < text.index("Exchange") and S.DURATION_MIN not in text[text.index("Exchange"):]
     whole = add_trip_features(trips)
     assert sorted(map(str, laid.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_months_of_one_batch_are_copied_without_an_exchange(spark, tmp_path, monkeypatch):
+    """Batches: month 1; months 1 and 2; month 3.  Only month 1 is laid out afresh."""
+    store = TripStore(str(tmp_path))
+    lookup = checked_lookup(spark.createDataFrame(ZONE_ROWS, S.ZONE_SCHEMA))
+
+    def ride(month: int, n: int) -> dict:
+        return trip(**{S.PICKUP: datetime(2024, month, 3, 9, n), S.DROPOFF: datetime(2024, month, 3, 10), S.FARE: 5.0 + n})
+
+    for batch, months in enumerate(((1,), (1, 2), (3,))):
+        load_batch(spark, store, lookup, make_trips(spark, [ride(m, 10 * batch + n) for m in months for n in range(4)]), batch)
+
+    def rows():
+        return sorted(map(str, store.read_trips(spark).drop("ingest_batch").collect()))
+
+    before, laid = rows(), []
+
+    def layout(trips, *args, **more):
+        laid.append({r[0] for r in trips.select(S.MONTH).collect()})
+        return clustered_layout(trips, *args, **more)
+
+    monkeypatch.setattr(sinks, "clustered_layout", layout)
+    assert compact(spark, store) == -1
+    assert laid == [{1}]
+    assert rows() == before and len(before) == 16
+    assert set(store.ledger(spark).live()) == {-1}
