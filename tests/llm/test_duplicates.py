@@ -164,7 +164,8 @@ def test_sql_agrees_on_the_whole_table(spark):
     from ..conftest import SF_SMALL
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in queries.ORACLE_SQL.items():
         result = con.execute(sql)
         columns = [d[0] for d in result.description]
